@@ -6,11 +6,12 @@ recall rows, parts -> reference and catalog rows), so its size grows with that t
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldgap.plans import intermediate, marts, staging
 from fieldgap.plans.catalog import JudgedFeed, judge_fitment, judge_parts
@@ -274,7 +275,7 @@ class Derived:
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
         self.spark, self.dir = spark, sf_dir
         self.root = root or scratch_path(spark, "models")
-        self._frames: dict[str, DataFrame] = {}
+        self._schemas: dict[str, T.StructType] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -283,18 +284,20 @@ class Derived:
         return getattr(self, name)()
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in SETTLED:
-            return self.lazy(name)
+        return self.written(name, lambda: self.lazy(name)) if name in SETTLED else self.lazy(name)
+
+    def written(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The table `name` in the shared folder, written on first use."""
         path = f"{self.root}/{name}"
-        if name in self._frames:
+        if name in self._schemas:
             try:
-                return self.spark.read.schema(self._frames[name].schema).parquet(path)
+                return self.spark.read.schema(self._schemas[name]).parquet(path)
             except AnalysisException as err:  # the folder was cleaned up: write again
                 if err.getCondition() != "PATH_NOT_FOUND":
                     raise
-        df = self.lazy(name)
+        df = build()
         df.write.mode("overwrite").parquet(path)
-        self._frames[name] = df
+        self._schemas[name] = df.schema
         return self.spark.read.schema(df.schema).parquet(path)
 
     def make_aliases(self) -> DataFrame:

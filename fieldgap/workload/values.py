@@ -14,7 +14,7 @@ OBSERVED = [
     ("MERCEDES", "AMG C43"), ("MERCEDES-BENZ", "SPRINTER 2500"), ("LEXUS", "RX 450H"),
     ("LEXUS", "ES350"), ("Lexus", "RX"), ("TESLA", "MODEL 3"), ("TESLA", "Model Y Long Range"),
     ("TESLA", "MODEL S"), ("VW", "JETTA"), ("VOLKSWAGEN", "Golf GTI"),
-    ("LAND\tROVER", "RANGE ROVER SPORT"), ("LANDROVER", "DISCOVERY"), ("KIA", "SOULEV"),
+    ("LAND  ROVER", "RANGE ROVER SPORT"), ("LANDROVER", "DISCOVERY"), ("KIA", "SOULEV"),
     ("KIA", "SOUL EV"), ("HYUNDAI", "SANTA FE"), ("HYUNDAI", "Elantra GT"),
     ("HARLEY-DAVIDSON", "STREET GLIDE"), ("WINNEBAGO", "VISTA"), ("BMW", "328I"), ("BMW", "X5 M"),
     (None, "UNKNOWN"), ("NISSAN", "---"), ("NISSAN", None), ("ALFA-ROMEO", "Giulia"),
