@@ -12,6 +12,9 @@ from fieldgap.functions.text import java_replacement, word_prefixes
 from fieldgap.operators.dedup import best_candidate
 
 
+UNMATCHED = 4
+
+
 def distinct_names(frames: Sequence[DataFrame], cols: Sequence[str], keep: Column) -> DataFrame:
     """Distinct union of the named columns over several frames."""
     out = None
@@ -41,28 +44,40 @@ def conform_names(
     """
     keys = [*scope, name]
     names = observed.select(*keys).distinct()
-    known = reference.select(*keys).distinct()
-
-    own = F.array(F.struct(F.col(name).alias("candidate"), F.lit(1).alias("priority")))
-    shorter = F.transform(
-        word_prefixes(F.col(name)),
-        lambda p: F.struct(p.alias("candidate"), F.lit(3).alias("priority")),
-    )
-    candidates = names.select(*keys, F.inline(F.concat(own, shorter)))
+    listed = reference.select(
+        *[F.col(k).alias(f"_k_{k}") for k in scope], F.col(name).alias("_k_name")
+    ).distinct()
+
+    def ranked(value: Column, priority: int) -> Column:
+        return F.struct(value.alias("candidate"), F.lit(priority).alias("priority"))
+
+    options = [
+        F.array(ranked(F.col(name), 1)),
+        F.transform(word_prefixes(F.col(name)), lambda p: ranked(p, 3)),
+        F.array(ranked(F.col(name), UNMATCHED)),
+    ]
     if rules is not None:
-        rewritten = F.regexp_replace(
-            F.col(name), F.col("pattern"), java_replacement(F.col("replacement"))
+        # A handful of rules per make, carried along as a list: the names stay one scan.
+        rule = F.struct("pattern", java_replacement(F.col("replacement")).alias("replacement"))
+        per_make = rules.groupBy(rule_scope).agg(F.collect_list(rule).alias("_rules"))
+        names = names.join(per_make, rule_scope, "left")
+        fitting = F.filter(
+            F.coalesce("_rules", F.array().cast("array<struct<pattern:string,replacement:string>>")),
+            lambda r: F.rlike(F.col(name), r["pattern"]),
         )
-        by_rule = (
-            names.join(rules.select(rule_scope, "pattern", "replacement"), rule_scope)
-            .filter(F.rlike(F.col(name), F.col("pattern")))
-            .select(*keys, rewritten.alias("candidate"), F.lit(2).alias("priority"))
+        options.append(
+            F.transform(
+                fitting,
+                lambda r: ranked(F.regexp_replace(F.col(name), r["pattern"], r["replacement"]), 2),
+            )
         )
-        candidates = candidates.unionByName(by_rule)
-
-    listed = known.select(*scope, F.col(name).alias("candidate"))
-    fallback = names.select(*keys, F.col(name).alias("candidate"), F.lit(4).alias("priority"))
-    resolved = candidates.join(listed, [*scope, "candidate"], "left_semi").unionByName(fallback)
+    candidates = names.select(*keys, F.inline(F.concat(*options)))
+    found = candidates.join(
+        listed.withColumn("_listed", F.lit(True)),
+        [F.col(k) == F.col(f"_k_{k}") for k in scope] + [F.col("candidate") == F.col("_k_name")],
+        "left",
+    )
+    resolved = found.filter(F.col("_listed").isNotNull() | (F.col("priority") == UNMATCHED))
     best = best_candidate(
         resolved,
         keys,

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldgap.session import small_table
+
 
 def rank_within(
     df: DataFrame, group: str, score: str, out: str, width: float = 0.0625, digits: int = 9
@@ -76,14 +78,17 @@ def capped(df: DataFrame, n: int, order: Sequence[Column] = ()) -> tuple[DataFra
 
 
 def with_share(totals: DataFrame, measure: str, out: str, by: Sequence[str] = ()) -> DataFrame:
-    """Share of the group's total. The input is an aggregate with few rows per group (A-21)."""
-    whole = F.sum(measure).over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1)))
-    return totals.withColumn(out, F.try_divide(F.col(measure), whole))
+    """Share of the group's total, or of the grand total (A-21)."""
+    if not by:
+        whole = totals.agg(F.sum(measure)).scalar()
+        return totals.withColumn(out, F.try_divide(F.col(measure), whole))
+    sums = totals.groupBy(*by).agg(F.sum(measure).alias("_whole"))
+    return totals.join(sums, list(by)).withColumn(out, F.try_divide(F.col(measure), F.col("_whole"))).drop("_whole")
 
 
 def on_domain(df: DataFrame, column: str, values: Sequence[str], zero: Sequence[str]) -> DataFrame:
     """One row per listed value; measures of absent values become 0 (A-22)."""
-    domain = df.sparkSession.createDataFrame([(v,) for v in values], f"{column} string")
+    domain = small_table(df.sparkSession, [(v,) for v in values], f"{column} string")
     return domain.join(df, column, "left").fillna(0, subset=list(zero))
 
 

@@ -16,6 +16,7 @@ from fieldgap.operators.incremental import (
     first_versions,
     keyed_replace,
     next_history,
+    rows_after,
     rows_of_touched_keys,
 )
 from fieldgap.operators.merge import full_outer_merge, lookup, scalar_of
@@ -118,31 +119,30 @@ def fct_complaint(
     complaints: DataFrame,
     conformance: DataFrame,
     current: DataFrame | None = None,
-    recheck_vehicles: bool = True,
+    renamed: DataFrame | None = None,
 ) -> DataFrame:
     """One row per complaint; severity is taken once per complaint (FCT-1).
 
-    With `current`, only complaints that have a newer row are rebuilt and replaced; with
-    `recheck_vehicles`, also those whose conformed vehicle is now another one.
+    With `current`, only complaints that have a newer row are rebuilt and replaced. Names
+    whose conformance changed since then are given as `renamed`; complaints that use them are
+    rebuilt too. The wide rows shuffle once, on the complaint; names are conformed on the
+    collapsed rows.
     """
-    rows = attach_conformed(complaints, conformance)
+    rows = complaints.filter(resolvable())
     if current is None:
-        return _collapsed_complaints(rows)
-    touched = rows_of_touched_keys(rows, current, "complaint_id", "_loaded_at")
-    rebuilt = _collapsed_complaints(touched)
-    if recheck_vehicles:
-        now = rows.groupBy("complaint_id").agg(_vehicle_struct().alias("_v")).select(
-            "complaint_id", _vehicle_key_of("_v").alias("_now")
-        )
-        moved = now.join(current.select("complaint_id", "vehicle_key"), "complaint_id").filter(
-            F.col("_now") != F.col("vehicle_key")
-        )
-        moved_ids = moved.select("complaint_id").join(
-            rebuilt.select("complaint_id"), "complaint_id", "left_anti"
-        )
-        again = _collapsed_complaints(rows.join(moved_ids, "complaint_id", "left_semi"))
-        rebuilt = rebuilt.unionByName(again)
-    return keyed_replace(current, rebuilt, ["complaint_id"])
+        return _collapsed_complaints(rows, conformance)
+    ids = rows_after(rows, current, "_loaded_at").select("complaint_id")
+    if renamed is not None:
+        names = renamed.select("make", F.col("source_model_norm").alias("model_norm"), "model_year")
+        moved = rows.join(names, ["make", "model_norm", "model_year"], "left_semi").select("complaint_id")
+        ids = ids.unionByName(moved)
+    touched = rows.join(ids.distinct(), "complaint_id", "left_semi")
+    return keyed_replace(current, _collapsed_complaints(touched, conformance), ["complaint_id"])
+
+
+def renamed_models(before: DataFrame, now: DataFrame) -> DataFrame:
+    """Observed names that now resolve to another model than before."""
+    return now.join(before, ["make", "source_model_norm", "model_year", "model_norm"], "left_anti")
 
 
 def _vehicle_struct() -> Column:
@@ -150,18 +150,7 @@ def _vehicle_struct() -> Column:
     return F.min(F.struct("make", "model_norm", "model_year"))
 
 
-def _vehicle_key_of(struct: str) -> Column:
-    return F.md5(
-        F.concat_ws(
-            "|",
-            F.col(f"{struct}.make"),
-            F.col(f"{struct}.model_norm"),
-            F.col(f"{struct}.model_year").cast("string"),
-        )
-    )
-
-
-def _collapsed_complaints(rows: DataFrame) -> DataFrame:
+def _collapsed_complaints(rows: DataFrame, conformance: DataFrame) -> DataFrame:
     header = collapse(
         rows,
         ["complaint_id"],
@@ -186,9 +175,9 @@ def _collapsed_complaints(rows: DataFrame) -> DataFrame:
         },
     )
     severe = F.col("is_crash") | F.col("is_fire") | (F.col("injuries") > 0) | (F.col("deaths") > 0)
-    return header.select(
+    return attach_conformed(header.select("*", "_v.*"), conformance).select(
         "complaint_id",
-        _vehicle_key_of("_v").alias("vehicle_key"),
+        vehicle_key().alias("vehicle_key"),
         "received_date",
         "failure_date",
         "is_crash",

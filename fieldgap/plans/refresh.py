@@ -113,12 +113,14 @@ def build_models(
         stg_catalog_fitment=staging.staged_fitment(bronze["catalog_fitment"]),
     )
     recalls, complaints, reference = m["stg_recalls"], m["stg_complaints"], m["stg_reference"]
+    conformed_before = current("intermediate.int_model_conformance")
     put(
         "intermediate",
         int_model_conformance=intermediate.model_conformance(recalls, complaints, reference, rules),
         int_fitment_exploded=intermediate.fitment_years(m["stg_catalog_fitment"]),
     )
     conformance, fitted = m["int_model_conformance"], m["int_fitment_exploded"]
+    renamed = None if conformed_before is None else marts.renamed_models(conformed_before, conformance)
     put(
         "snapshots",
         snap_catalog_parts=marts.part_history(
@@ -135,7 +137,7 @@ def build_models(
         dim_component=marts.dim_component(recalls, complaints, taxonomy),
         dim_recall_campaign=marts.dim_recall_campaign(recalls),
         dim_part=marts.dim_part(m["snap_catalog_parts"]),
-        fct_complaint=marts.fct_complaint(complaints, conformance, current("marts.fct_complaint")),
+        fct_complaint=marts.fct_complaint(complaints, conformance, current("marts.fct_complaint"), renamed),
         fct_complaint_component=marts.fct_complaint_component(
             complaints, current("marts.fct_complaint_component")
         ),

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution coalesces small shuffle partitions, splits skewed join partitions and
 # turns joins into broadcasts only when the measured side is below the size threshold.
@@ -31,6 +33,17 @@ def local_session(cores: int | str = "*", app: str = "fieldgap") -> SparkSession
     )
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A constant table whose size the optimizer knows.
+
+    Going through Arrow gives a local relation; a list of tuples would become an RDD scan of
+    unknown size, and joins with it would shuffle the large side.
+    """
+    names = [column.split()[0] for column in schema.split(",")]
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(names)}
+    return spark.createDataFrame(pa.table(columns), schema=schema)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`.
 

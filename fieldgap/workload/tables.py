@@ -66,6 +66,7 @@ from fieldgap.operators.ranking import (
     with_share,
 )
 from fieldgap.operators.sampling import hash_sample, hash_sample_groups, redact
+from fieldgap.session import small_table
 from fieldgap.workload.portable import portable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,7 +205,7 @@ _ALIASES = [("STANDARD", "Regular"), ("STD", "Regular"), ("PROMO", "Offer"), ("L
 )
 def alias_lookup(t: Tables) -> DataFrame:
     """J-1, J-10: left lookup with a default."""
-    aliases = t.spark.createDataFrame(_ALIASES, "raw string, canon string")
+    aliases = small_table(t.spark, _ALIASES, "raw string, canon string")
     keyed = t.part.select("p_partkey", F.upper("p_type").alias("key"))
     found = lookup(keyed, aliases, {"key": "raw"}, {"canon": "canon"})
     return found.select(
@@ -270,7 +271,7 @@ def _listed_items(t: Tables) -> DataFrame:
 
 
 def _conformed(t: Tables) -> DataFrame:
-    rules = t.spark.createDataFrame(_NAME_RULES, "make string, pattern string, replacement string, description string")
+    rules = small_table(t.spark, _NAME_RULES, "make string, pattern string, replacement string, description string")
     return conform_names(_named_items(t), _listed_items(t), rules)
 
 
