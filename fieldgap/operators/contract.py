@@ -44,33 +44,36 @@ def feed_metrics(
 ) -> DataFrame:
     """Run metrics of a judged feed, one row per reason (or one row with a NULL reason).
 
-    rows_in = rows_valid + rows_quarantined + deduplicated. The totals are one aggregate;
-    the reasons come from exploding the reason lists of rejected rows.
+    rows_in = rows_valid + rows_quarantined + deduplicated. Each row counts once under a NULL
+    reason and once under each of its reasons, so totals and reasons come from one pass. Only
+    the handful of per-reason rows is then folded into the output.
     """
     bad = F.size("_reasons") > 0
     again = F.lit(False) if repeated is None else repeated
     touched = F.lit(False) if standardized is None else standardized
-    totals = judged.agg(
+    outcomes = judged.select(
+        (~bad & ~again).alias("valid"),
+        bad.alias("bad"),
+        (~bad & ~again & touched).alias("touched"),
+        (~bad & again).alias("again"),
+        F.explode(F.concat(F.array(F.lit(None).cast("string")), "_reasons")).alias("reason"),
+    )
+    per_reason = outcomes.groupBy("reason").agg(
         F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(~bad & ~again).alias("rows_valid"),
-        F.count_if(bad).alias("rows_quarantined"),
-        F.count_if(~bad & ~again & touched).alias("standardized"),
-        F.count_if(~bad & again).alias("deduplicated"),
-    ).withColumn("feed", F.lit(feed))
-    reasons = (
-        judged.filter(bad)
-        .select(F.explode("_reasons").alias("reason"))
-        .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("reason_count"))
-        .withColumn("feed", F.lit(feed))
+        F.count_if("valid").alias("rows_valid"),
+        F.count_if("bad").alias("rows_quarantined"),
+        F.count_if("touched").alias("standardized"),
+        F.count_if("again").alias("deduplicated"),
+    )
+    totals = ["rows_in", "rows_valid", "rows_quarantined", "standardized", "deduplicated"]
+    whole = F.col("reason").isNull()
+    folded = per_reason.agg(
+        *[F.coalesce(F.max(F.when(whole, F.col(c))), F.lit(0)).alias(c) for c in totals],
+        F.collect_list(F.when(~whole, F.struct("reason", F.col("rows_in").alias("n")))).alias("_r"),
     )
-    return totals.join(reasons, "feed", "left").select(
-        "feed",
-        "rows_in",
-        "rows_valid",
-        "rows_quarantined",
-        "standardized",
-        "deduplicated",
+    return folded.select(*totals, F.inline_outer("_r").alias("reason", "n")).select(
+        F.lit(feed).alias("feed"),
+        *totals,
         "reason",
-        F.coalesce("reason_count", F.lit(0).cast("bigint")).alias("reason_count"),
+        F.coalesce("n", F.lit(0)).alias("reason_count"),
     )
