@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from fieldgap.functions.aggregates import mean
 from fieldgap.functions.scalars import all_of
-from fieldgap.operators.dedup import latest_row
 from fieldgap.operators.merge import kpi_row, scalar_of
 from fieldgap.operators.ranking import capped, keep_top_groups, on_domain, pivot_counts, top_k, with_share
 from fieldgap.plans.reference import COVERAGE_STATUSES
@@ -248,17 +247,20 @@ def vehicle_complaints(m: Tables, make: str, model: str, year: int, k: int = 25)
 
 
 # ------------------------------------------------------------------------ data quality
+def _of_newest_run(log: DataFrame, run: str, ts: str) -> DataFrame:
+    """Rows of the newest run in a log (J-16, T-4)."""
+    return log.filter(F.col(run) == scalar_of(log, F.max_by(run, F.struct(ts, run))))
+
+
 def latest_test_status(results: DataFrame) -> DataFrame:
     """Q-9: node counts per resource type and status of the newest build."""
-    newest = latest_row(results.filter("command = 'build'"), "recorded_at", ["invocation_id"])
-    rows = results.join(newest.select("invocation_id"), "invocation_id", "left_semi")
+    rows = _of_newest_run(results.filter("command = 'build'"), "invocation_id", "recorded_at")
     return pivot_counts(rows, "resource_type", "status", ["success", "pass", "warn", "fail", "error"])
 
 
 def failing_nodes(results: DataFrame) -> DataFrame:
     """Q-9: nodes of the newest build that need attention."""
-    newest = latest_row(results.filter("command = 'build'"), "recorded_at", ["invocation_id"])
-    rows = results.join(newest.select("invocation_id"), "invocation_id", "left_semi")
+    rows = _of_newest_run(results.filter("command = 'build'"), "invocation_id", "recorded_at")
     return rows.filter(~F.col("status").isin("success", "pass", "no-op")).select(
         "unique_id", "status", "failures", "message"
     )
@@ -266,8 +268,7 @@ def failing_nodes(results: DataFrame) -> DataFrame:
 
 def latest_feed_metrics(runs: DataFrame) -> DataFrame:
     """Q-10: metrics and reasons of the newest feed run."""
-    newest = latest_row(runs, "run_at", ["run_id"])
-    return runs.join(newest.select("run_id"), "run_id", "left_semi").select(
+    return _of_newest_run(runs, "run_id", "run_at").select(
         "feed", "rows_in", "rows_valid", "rows_quarantined", "standardized", "deduplicated",
         "reason", "reason_count",
     )
