@@ -7,6 +7,7 @@ recall rows, parts -> reference and catalog rows), so its size grows with that t
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +26,10 @@ from fieldgap.session import scratch_path
 from fieldgap.workload import values as v
 
 
-def pick(items: Sequence, index: Column) -> Column:
-    """Constant list element by zero-based index."""
-    return F.element_at(F.array(*[F.lit(i) for i in items]), (index + 1).cast("int"))
+def pick(items: Sequence, index: str) -> Column:
+    """Constant list element by zero-based index. One SQL text costs one call into the JVM."""
+    listed = ", ".join("null" if i is None else f"{i!r}" for i in items)
+    return F.expr(f"element_at(array({listed}), cast(({index}) + 1 as int))")
 
 
 def compact(date: Column) -> Column:
@@ -45,8 +47,8 @@ def complaint_rows(lineitem: DataFrame) -> DataFrame:
 
     (order, line number) repeats in the table, which plays the part of re-deliveries.
     """
-    make = pick([m for m, _ in v.OBSERVED], F.expr(f"l_orderkey % {len(v.OBSERVED)}"))
-    model = pick([m for _, m in v.OBSERVED], F.expr(f"l_orderkey % {len(v.OBSERVED)}"))
+    make = pick([m for m, _ in v.OBSERVED], f"l_orderkey % {len(v.OBSERVED)}")
+    model = pick([m for _, m in v.OBSERVED], f"l_orderkey % {len(v.OBSERVED)}")
     shipped = F.col("l_shipdate").cast("date")
     year = F.expr(f"cast(2010 + (l_orderkey div {len(v.OBSERVED)}) % 15 as string)")
     late = F.col("l_linestatus") == "O"
@@ -70,8 +72,8 @@ def complaint_rows(lineitem: DataFrame) -> DataFrame:
         F.when((F.col("l_discount") > 0.095) & (qty > 40), "YES").otherwise("N").alias("fire"),
         F.when(qty > 49, "2").when(F.col("l_tax") > 0.075, "x").otherwise("0").alias("injured"),
         F.when((qty > 49) & (F.col("l_returnflag") == "R"), "1").alias("deaths"),
-        F.nullif(F.trim(pick(v.COMPONENTS, F.expr(f"l_partkey % {len(v.COMPONENTS)}"))), F.lit("")).alias("compdesc"),
-        pick(v.STATES, F.expr(f"l_suppkey % {len(v.STATES)}")).alias("state"),
+        F.nullif(F.trim(pick(v.COMPONENTS, f"l_partkey % {len(v.COMPONENTS)}")), F.lit("")).alias("compdesc"),
+        pick(v.STATES, f"l_suppkey % {len(v.STATES)}").alias("state"),
         compact(F.date_add(shipped, F.expr("8400 + l_linenumber"))).alias("datea"),
         F.when(F.expr("l_orderkey % 211 = 0"), "unknown")
         .otherwise(compact(F.date_add(shipped, 8400)))
@@ -85,7 +87,7 @@ def complaint_rows(lineitem: DataFrame) -> DataFrame:
             F.lit("line "), F.col("l_linenumber"), F.lit(" part "), F.col("l_partkey"),
             F.lit(" supplier "), F.col("l_suppkey"), F.lit(" amount "), F.floor("l_extendedprice"),
         ).alias("cdescr"),
-        pick(v.CHANNELS, F.expr(f"l_suppkey % {len(v.CHANNELS)}")).alias("cmpl_type"),
+        pick(v.CHANNELS, f"l_suppkey % {len(v.CHANNELS)}").alias("cmpl_type"),
         F.when(F.expr("l_orderkey % 3 = 0"), "4WD").alias("drive_train"),
         F.when(F.expr("l_orderkey % 5 = 0"), "GS").otherwise("HY").alias("fuel_type"),
         F.lit("AUTO").alias("trans_type"),
@@ -99,7 +101,7 @@ def complaint_rows(lineitem: DataFrame) -> DataFrame:
 
 def recall_rows(events: DataFrame) -> DataFrame:
     """One campaign x vehicle x component row per event; a user is one campaign."""
-    at = F.expr(f"(event_id * 7 + user_id) % {len(v.OBSERVED)}")
+    at = f"(event_id * 7 + user_id) % {len(v.OBSERVED)}"
     opened = F.expr("date_add(date '2016-01-01', cast((user_id * 17) % 3200 + event_id % 3 as int))")
     year = F.expr(f"cast(2010 + (event_id div {len(v.OBSERVED)}) % 15 as string)")
     kind = F.col("event_type")
@@ -113,7 +115,7 @@ def recall_rows(events: DataFrame) -> DataFrame:
         .otherwise(year)
         .alias("yeartxt"),
         F.concat(F.lit("M"), F.col("user_id")).alias("mfgcampno"),
-        F.nullif(F.trim(pick(v.COMPONENTS, F.expr(f"(event_id div 3) % {len(v.COMPONENTS)}"))), F.lit("")).alias("compname"),
+        F.nullif(F.trim(pick(v.COMPONENTS, f"(event_id div 3) % {len(v.COMPONENTS)}")), F.lit("")).alias("compname"),
         F.concat(
             F.lit("Maker "), F.expr("user_id % 17"), F.when(F.expr("event_id % 5 = 0"), " Inc").otherwise("")
         ).alias("mfgname"),
@@ -124,7 +126,7 @@ def recall_rows(events: DataFrame) -> DataFrame:
         .otherwise(F.expr("cast((user_id * 37) % 90000 + 100 as string)"))
         .alias("potaff"),
         compact(F.date_add(opened, 30)).alias("odate"),
-        pick(v.STARTERS, F.expr(f"event_id % {len(v.STARTERS)}")).alias("influenced_by"),
+        pick(v.STARTERS, f"event_id % {len(v.STARTERS)}").alias("influenced_by"),
         compact(opened).alias("rcdate"),
         F.concat(F.lit("Defect "), kind, F.lit(" "), F.expr("event_id % 1000")).alias("desc_defect"),
         F.when(F.expr("event_id % 4 <> 0"), F.concat(F.lit("May fail after "), F.floor("value"))).alias("consequence_defect"),
@@ -139,7 +141,7 @@ def recall_rows(events: DataFrame) -> DataFrame:
 
 def listed_rows(part: DataFrame) -> DataFrame:
     """One reference row (make, model, year) per part; repeats collapse downstream."""
-    at = F.expr(f"p_partkey % {len(v.LISTED)}")
+    at = f"p_partkey % {len(v.LISTED)}"
     make, model_id, name, kind = (pick([row[i] for row in v.LISTED], at) for i in range(4))
     return part.select(
         (model_id % 1000).cast("int").alias("make_id"),
@@ -210,7 +212,7 @@ def part_feed(part: DataFrame, revision: int = 2) -> DataFrame:
         F.col("p_type").alias("part_type"),
         F.when(F.expr("p_partkey % 37 = 0"), "")
         .when(F.expr("p_partkey % 38 = 0"), "Mystery")
-        .otherwise(pick(serviceable_categories(), F.expr(f"p_size % {len(serviceable_categories())}")))
+        .otherwise(pick(serviceable_categories(), f"p_size % {len(serviceable_categories())}"))
         .alias("part_category"),
         F.col("p_name").alias("description"),
         F.when(F.expr("p_partkey % 29 = 0"), "N/A")
@@ -228,7 +230,7 @@ def part_feed(part: DataFrame, revision: int = 2) -> DataFrame:
 
 def fitment_feed(part: DataFrame) -> DataFrame:
     """Three fitment ranges per part, with injected defects and some exact repeats."""
-    at = F.expr(f"(p_partkey * 3 + line * 5) % {len(v.LISTED)}")
+    at = f"(p_partkey * 3 + line * 5) % {len(v.LISTED)}"
     make = F.upper(pick([row[0] for row in v.LISTED], at))
     model = pick([row[2] for row in v.LISTED], at)
     first = F.expr("2010 + p_partkey % 8")
@@ -249,20 +251,24 @@ def fitment_feed(part: DataFrame) -> DataFrame:
         .alias("model"),
         F.when(F.expr("p_partkey % 79 = 0"), "20l5").otherwise(F.when(swap, last + 1).otherwise(first).cast("string")).alias("year_start"),
         F.when(F.expr("p_partkey % 73 = 0"), "2099").otherwise(F.when(swap, first).otherwise(last).cast("string")).alias("year_end"),
-        pick(v.POSITIONS, F.expr("(p_partkey + line) % 4")).alias("position"),
+        pick(v.POSITIONS, "(p_partkey + line) % 4").alias("position"),
         F.when(F.expr("p_partkey % 6 = 0"), "Interchange").otherwise("").alias("note"),
         F.expr("(p_partkey * 4 + line) * 2 + copy").alias("_ordinal"),
     )
 
 
-# Models that several others read. They are written once to the shared folder and read back,
-# so that neither the work nor the lineage is repeated in every consumer.
-SETTLED = frozenset(
-    "stg_complaints stg_catalog_fitment int_model_conformance int_fitment_exploded int_vehicles "
-    "snap_catalog_parts dim_vehicle dim_component dim_recall_campaign dim_part fct_complaint "
-    "fct_complaint_component fct_recall_vehicle_component fct_part_fitment mart_coverage_gap "
-    "mart_component_trends mart_data_conformance".split()
-)
+# Models that several others read, in waves that only need earlier waves. They are written
+# once to the shared folder and read back, so that neither the work nor the lineage is
+# repeated in every consumer.
+WAVES = [
+    ["stg_complaints", "stg_recalls", "stg_catalog_fitment", "snap_catalog_parts"],
+    ["int_model_conformance", "int_fitment_exploded", "fct_complaint_component", "dim_recall_campaign", "dim_component", "dim_part"],
+    ["fct_complaint", "int_vehicles", "fct_recall_vehicle_component"],
+    ["dim_vehicle", "mart_data_conformance"],
+    ["fct_part_fitment", "mart_component_trends"],
+    ["mart_coverage_gap"],
+]
+SETTLED = frozenset(name for wave in WAVES for name in wave)
 
 
 class Derived:
@@ -286,6 +292,13 @@ class Derived:
     def __getitem__(self, name: str) -> DataFrame:
         return self.written(name, lambda: self.lazy(name)) if name in SETTLED else self.lazy(name)
 
+    def build_all(self) -> Derived:
+        """Write every model that is not there yet; the models of a wave run side by side."""
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            for wave in WAVES:
+                list(pool.map(self.__getitem__, [name for name in wave if name not in self._schemas]))
+        return self
+
     def written(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The table `name` in the shared folder, written on first use."""
         path = f"{self.root}/{name}"

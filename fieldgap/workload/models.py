@@ -272,7 +272,7 @@ _add(
 
 
 def _tested(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], list]:
-    d = derived(spark, sf)
+    d = derived(spark, sf).build_all()
     tables = {
         name: d[name]
         for name in (*MODEL_COLUMNS, "make_aliases", "nhtsa_complaints", "stg_catalog_fitment")
@@ -420,7 +420,7 @@ _add(
 
 
 def _report(name: str, report: Callable[..., DataFrame], select: str, **args) -> None:
-    _add(name, lambda spark, sf: report(derived(spark, sf), **args), "mart_data_conformance", select)
+    _add(name, lambda spark, sf: report(derived(spark, sf).build_all(), **args), "mart_data_conformance", select)
 
 
 _GAP_TOTAL = "complaints_total + recall_campaigns > 0"
