@@ -39,15 +39,13 @@ def compact_date(c: Column) -> Column:
         F.length(digits) == 7,
         F.concat(F.substring(digits, 1, 6), F.lit("0"), F.substring(digits, 7, 1)),
     ).otherwise(digits)
-    eight = F.when(padded.rlike(r"\A[0-9]{8}\z"), padded)
-    return F.try_to_timestamp(eight, F.lit("yyyyMMdd")).cast("date")
+    iso = F.regexp_replace(padded, r"\A([0-9]{4})([0-9]{2})([0-9]{2})\z", "$1-$2-$3")
+    return F.when(F.length(iso) == 10, iso).try_cast("date")
 
 
 def iso_date(c: Column) -> Column:
     """Date from yyyy-mm-dd text, otherwise NULL."""
-    return F.try_to_timestamp(F.when(c.rlike(r"\A\d{4}-\d{2}-\d{2}\z"), c), F.lit("yyyy-MM-dd")).cast(
-        "date"
-    )
+    return F.when(c.rlike(r"\A\d{4}-\d{2}-\d{2}\z"), c).try_cast("date")
 
 
 def month_of(c: Column) -> Column:

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes of code; wide projections are split instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Call sites of column expressions cost one stack walk per call; queries here build many.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

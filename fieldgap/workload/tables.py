@@ -369,12 +369,15 @@ def argmax_null_safe(t: Tables) -> DataFrame:
 )
 def ordered_distinct_list(t: Tables) -> DataFrame:
     """A-3, A-4, A-12: distinct lists, composite and filtered distinct counts."""
-    return t.lineitem.groupBy("l_suppkey").agg(
+    lines = t.lineitem
+    flags = lines.groupBy("l_suppkey").agg(
         distinct_list(F.col("l_returnflag")).alias("flags"),
-        distinct_tuples(F.col("l_partkey"), F.col("l_orderkey")).alias("pairs"),
-        distinct_where(F.col("l_partkey"), F.col("l_quantity") > 25).alias("big_parts"),
         count_where(F.col("l_returnflag") == "R").alias("returned"),
     )
+    # One distinct count per aggregation: several in one would expand every row once per count.
+    pairs = lines.groupBy("l_suppkey").agg(distinct_tuples(F.col("l_partkey"), F.col("l_orderkey")).alias("pairs"))
+    big = lines.groupBy("l_suppkey").agg(distinct_where(F.col("l_partkey"), F.col("l_quantity") > 25).alias("big_parts"))
+    return flags.join(pairs, "l_suppkey").join(big, "l_suppkey")
 
 
 @_query(
