@@ -70,7 +70,7 @@ def dim_recall_campaign(recalls: DataFrame) -> DataFrame:
     def newest(name: str) -> Column:
         return max_by_present(F.col(name), F.col("_loaded_at"), row)
 
-    return collapse(
+    header = collapse(
         recalls,
         ["campaign_number"],
         {
@@ -84,10 +84,17 @@ def dim_recall_campaign(recalls: DataFrame) -> DataFrame:
             "defect_summary": longest("defect_summary"),
             "consequence_summary": longest("consequence_summary"),
             "remedy_summary": longest("remedy_summary"),
-            "vehicles_named": F.count_distinct("make", "model_norm", "model_year"),
-            "components_named": F.count_distinct("component_path"),
         },
     )
+    # The distinct counts read narrow columns. Next to the texts they would expand every wide
+    # row once per count.
+    vehicles = recalls.groupBy("campaign_number").agg(
+        F.count_distinct("make", "model_norm", "model_year").alias("vehicles_named")
+    )
+    components = recalls.groupBy("campaign_number").agg(
+        F.count_distinct("component_path").alias("components_named")
+    )
+    return header.join(vehicles, "campaign_number").join(components, "campaign_number")
 
 
 def part_history(history: DataFrame | None, parts: DataFrame, as_of: Column) -> DataFrame:

@@ -1006,10 +1006,31 @@ def result_signature_differs(t: Tables) -> DataFrame:
     return result_equivalent(expected, actual)
 
 
-_PROFILED = "region nation customer supplier part orders lineitem events documents labels".split()
-
-
-@_query()
+_PROFILED = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
+def _profile_sql() -> str:
+    parts = []
+    for table, schema in _PROFILED.items():
+        for i, column in enumerate(schema.split(", "), start=1):
+            name, kind = column.split()
+            note = "customer number" if name == "c_custkey" else ""
+            parts.append(
+                f"select '{table}' as table_name, {i} as position, '{name}' as column_name, '{kind}' as data_type, "
+                f"'{note}' as description, (select count(*) from {table}) as row_count"
+            )
+    return " union all ".join(parts)
+
+
+@_query(_profile_sql())
 def table_profile(t: Tables) -> DataFrame:
-    """DQ-15: columns, types and row counts. Type names differ between engines."""
-    return profile({name: getattr(t, name) for name in _PROFILED}, {"orders": {"o_orderkey": "order number"}})
+    """DQ-15: columns, types, descriptions and row counts."""
+    return profile({name: getattr(t, name) for name in _PROFILED}, {"customer": {"c_custkey": "customer number"}})
