@@ -74,7 +74,7 @@ def complaint_rows(lineitem: DataFrame) -> DataFrame:
         F.when((qty > 49) & (F.col("l_returnflag") == "R"), "1").alias("deaths"),
         F.nullif(F.trim(pick(v.COMPONENTS, f"l_partkey % {len(v.COMPONENTS)}")), F.lit("")).alias("compdesc"),
         pick(v.STATES, f"l_suppkey % {len(v.STATES)}").alias("state"),
-        compact(F.date_add(shipped, F.expr("8400 + l_linenumber"))).alias("datea"),
+        compact(F.date_add(shipped, F.expr("cast(8400 + l_linenumber as int)"))).alias("datea"),
         F.when(F.expr("l_orderkey % 211 = 0"), "unknown")
         .otherwise(compact(F.date_add(shipped, 8400)))
         .alias("ldate"),
