@@ -127,12 +127,14 @@ def fct_complaint(
     conformance: DataFrame,
     current: DataFrame | None = None,
     renamed: DataFrame | None = None,
+    drop_vanished: bool = False,
 ) -> DataFrame:
     """One row per complaint; severity is taken once per complaint (FCT-1).
 
     With `current`, only complaints that have a newer row are rebuilt and replaced. Names
     whose conformance changed since then are given as `renamed`; complaints that use them are
-    rebuilt too. The wide rows shuffle once, on the complaint; names are conformed on the
+    rebuilt too. With `drop_vanished`, complaints that no delivered row names any more are
+    removed. The wide rows shuffle once, on the complaint; names are conformed on the
     collapsed rows.
     """
     rows = complaints.filter(resolvable())
@@ -144,7 +146,12 @@ def fct_complaint(
         moved = rows.join(names, ["make", "model_norm", "model_year"], "left_semi").select("complaint_id")
         ids = ids.unionByName(moved)
     touched = rows.join(ids.distinct(), "complaint_id", "left_semi")
-    return keyed_replace(current, _collapsed_complaints(touched, conformance), ["complaint_id"])
+    kept = _still_delivered(current, rows) if drop_vanished else current
+    return keyed_replace(kept, _collapsed_complaints(touched, conformance), ["complaint_id"])
+
+
+def _still_delivered(current: DataFrame, rows: DataFrame) -> DataFrame:
+    return current.join(rows.select("complaint_id").distinct(), "complaint_id", "left_semi")
 
 
 def renamed_models(before: DataFrame, now: DataFrame) -> DataFrame:
@@ -203,7 +210,9 @@ def _collapsed_complaints(rows: DataFrame, conformance: DataFrame) -> DataFrame:
     )
 
 
-def fct_complaint_component(complaints: DataFrame, current: DataFrame | None = None) -> DataFrame:
+def fct_complaint_component(
+    complaints: DataFrame, current: DataFrame | None = None, drop_vanished: bool = False
+) -> DataFrame:
     """Bridge from complaints to the components they cite (FCT-2).
 
     Incrementally, all bridge rows of a touched complaint are replaced, so a component that
@@ -219,7 +228,8 @@ def fct_complaint_component(complaints: DataFrame, current: DataFrame | None = N
     if current is None:
         return bridge(rows)
     touched = rows_of_touched_keys(rows, current, "complaint_id", "_loaded_at")
-    return keyed_replace(current, bridge(touched), ["complaint_id"])
+    kept = _still_delivered(current, rows) if drop_vanished else current
+    return keyed_replace(kept, bridge(touched), ["complaint_id"])
 
 
 def fct_recall_vehicle_component(recalls: DataFrame, conformance: DataFrame) -> DataFrame:

@@ -87,7 +87,11 @@ def publish_catalog(spark: SparkSession, wh: Warehouse, raw_parts: DataFrame, ra
 
 
 def build_models(
-    spark: SparkSession, wh: Warehouse, as_of_year: int, full_refresh: bool = False
+    spark: SparkSession,
+    wh: Warehouse,
+    as_of_year: int,
+    full_refresh: bool = False,
+    drop_vanished: bool = False,
 ) -> dict[str, DataFrame]:
     """Rebuild every model in dependency order and return the published frames."""
     aliases, taxonomy, rules = make_aliases(spark), component_taxonomy(spark), model_rules(spark)
@@ -137,9 +141,11 @@ def build_models(
         dim_component=marts.dim_component(recalls, complaints, taxonomy),
         dim_recall_campaign=marts.dim_recall_campaign(recalls),
         dim_part=marts.dim_part(m["snap_catalog_parts"]),
-        fct_complaint=marts.fct_complaint(complaints, conformance, current("marts.fct_complaint"), renamed),
+        fct_complaint=marts.fct_complaint(
+            complaints, conformance, current("marts.fct_complaint"), renamed, drop_vanished
+        ),
         fct_complaint_component=marts.fct_complaint_component(
-            complaints, current("marts.fct_complaint_component")
+            complaints, current("marts.fct_complaint_component"), drop_vanished
         ),
         fct_recall_vehicle_component=marts.fct_recall_vehicle_component(recalls, conformance),
     )
@@ -212,6 +218,7 @@ def refresh(
     full_refresh: bool = False,
     skip_unchanged: bool = True,
     run_tests: bool = True,
+    drop_vanished: bool = False,
 ) -> list[LandingResult]:
     """Land what is given, rebuild and test. Returns the landing outcome per flat file.
 
@@ -230,7 +237,7 @@ def refresh(
         changed = True
     if not changed and skip_unchanged and wh.exists("marts.mart_coverage_gap"):
         return landed
-    m = stage("models", lambda: build_models(spark, wh, inputs.as_of_year, full_refresh))
+    m = stage("models", lambda: build_models(spark, wh, inputs.as_of_year, full_refresh, drop_vanished))
     if run_tests:
         stage("tests", lambda: check_models(wh, m, inputs.as_of_year))
     return landed

@@ -196,6 +196,20 @@ def test_second_delivery_updates_facts_and_history(spark, built):
     assert {r.part_number for r in wh.read("marts.dim_part").collect()} == {"AB12345", "AB12346", "AB12399"}
 
 
+def test_vanished_complaints_can_be_dropped(spark, built):
+    root, wh, inputs = built
+    before = wh.read("marts.fct_complaint").count()
+    (root / "later.txt").write_text(tabbed(COMPLAINT_COLUMNS, [complaint(20, 200, compdesc="STEERING")]))
+    later = Inputs(as_of_year=YEAR, flat_files={**inputs.flat_files, "complaints_2020_2024": str(root / "later.txt")})
+    refresh(spark, wh, later, run_tests=False)
+    assert wh.read("marts.fct_complaint").count() == before
+    (root / "later.txt").write_text("")
+    refresh(spark, wh, later, run_tests=False, drop_vanished=True)
+    assert wh.read("marts.fct_complaint").filter("complaint_id = 200").count() == 0
+    assert wh.read("marts.fct_complaint_component").filter("complaint_id = 200").count() == 0
+    assert wh.read("marts.fct_complaint").count() == before - 1
+
+
 def test_changed_conformance_moves_old_complaints(spark):
     rows = spark.createDataFrame(
         [(1, 10, "HONDA", "CIVIC HYBRID", 2018, 1), (2, 11, "HONDA", "FIT", 2018, 1)],
