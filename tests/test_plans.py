@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from fieldgap.operators.dedup import latest_per_key
 from fieldgap.plans.marts import fct_complaint
+from fieldgap.workload import models, tables
 from fieldgap.workload.models import derived
 
 PLAIN = "/root/testdata/sf0.001"
@@ -18,7 +19,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", [*tables.QUERIES, *models.QUERIES])
 def test_no_products_and_no_python(spark, name):
     text = plan(entry.queries()[name](spark, PLAIN))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
