@@ -59,7 +59,77 @@ select d.doc_id, coalesce(len(words.w), 0)::bigint as n_words, coalesce(hit.n, 0
 from documents d left join words using (doc_id) left join hit using (doc_id) left join owners using (doc_id)
 """
 
+HTML = r"""
+with body as (
+  select page_id, url, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) as a from pages
+), blocks as (
+  select page_id, unnest(list_transform(
+    regexp_split_to_array(a, '</?(?:p|h1|div|ul|li)>'),
+    lambda x, i: {'i': i, 'b': regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g')}
+  )) as u from body
+), clean as (
+  select page_id, u.i as i, trim(regexp_replace(replace(replace(replace(replace(
+    u.b, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) as b
+  from blocks
+), texts as (select page_id, string_agg(b, chr(10) order by i) as text from clean where b <> '' group by page_id)
+select page_id, url, coalesce(text, '') as text, length(coalesce(text, ''))::bigint as n_chars
+from pages left join texts using (page_id)
+"""
+
+TOP_K = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as e
+  from embeddings where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and vec_id is not null
+), scores as (
+  select q.vec_id as query_id, c.vec_id as vec_id,
+         list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::bigint as score
+  from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id
+)
+select query_id, rank::integer as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores)
+where rank <= 20
+"""
+
+URLS = """
+with parsed as (
+  select page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*(/[^?#]*)', 1), '') as path
+  from pages
+), rules(verdict, host, path) as (
+  values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+         ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), fits as (
+  select p.page_id, r.host || r.path as rule, r.verdict,
+         row_number() over (partition by p.page_id order by length(r.host || r.path) desc) as n
+  from parsed p join rules r on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path)
+)
+select p.page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
+from parsed p left join (select * from fits where n = 1) f using (page_id)
+"""
+
+WARC = """
+with p as (
+  select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as h from pages
+), d as (
+  select page_id, payload_bytes, max(page_id) over (partition by h) as holder,
+         array_to_string(list_transform(range(0, 32), lambda k:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  ((((('0x' || substr(h, (5 * (k // 4) + 1)::int, 5))::integer) >> (15 - 5 * (k % 4))::int) & 31) + 1)::int, 1)), '') as payload_digest
+  from p
+)
+select page_id, payload_bytes, payload_digest, case when holder = page_id then 'response' else 'revisit' end as record_type,
+       case when holder <> page_id then holder end as refers_to
+from d
+"""
+
 STATEMENTS: dict[str, str] = {
+    "op1_html_extraction": HTML,
     "op3_line_dedup": LINE_DEDUP,
+    "op4_exact_top_k": TOP_K,
     "op5_benchmark_decontamination": DECONTAMINATION,
+    "op6_url_filter": URLS,
+    "op9_warc": WARC,
 }

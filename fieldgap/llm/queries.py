@@ -9,7 +9,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fieldgap.llm import decontamination, line_dedup, oracle, packing, simhash, toxicity
+from fieldgap.llm import (
+    decontamination,
+    line_dedup,
+    oracle,
+    packing,
+    quality,
+    simhash,
+    topk,
+    toxicity,
+    url_rules,
+    warc,
+    wrappers,
+)
 from fieldgap.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +32,11 @@ def fold(divisor: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(divisor))
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrappers.main_text(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return found.select(
@@ -34,6 +51,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "text", F.col("n_lines").cast("long"), F.col("n_removed").cast("long"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -46,6 +67,32 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+#: (verdict, host, path)
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_rules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), url_rules.rule_table(spark, URL_RULES))
+    return found.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, fold(5) != 0)
+    return quality.scores(docs, model).select(
+        F.col("id").alias("doc_id"),
+        (F.pmod(F.crc32(F.col("id").cast("string")), F.lit(5)) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.LIMIT).cast("int").alias("predicted"),
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels, fold(3) != 1)
@@ -57,16 +104,32 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.read_records(warc.archive(table(spark, sf_dir, "pages"), least_bytes=0))
+    return found.select(
+        warc.record_number(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.record_number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.packed_pieces(table(spark, sf_dir, "documents"), tokenizer_path(packing.TOKENIZER))
     return corpus_pipeline.piece_digests(pieces)
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_url_filter": op6_url_filter,
+    "op7_quality": op7_quality,
     "op8_toxicity": op8_toxicity,
+    "op9_warc": op9_warc,
     "op10_packing": op10_packing,
     "pipeline": corpus_pipeline.run,
 }
