@@ -2,7 +2,7 @@
 
 A line is what stands between line feeds. A rolling hash over the hashes of `WINDOW` lines ends a
 chunk where it is divisible by `DIVISOR`, so inserted or deleted lines move no boundary beyond their
-neighbours. A line of at least `LONG_WORDS` words is as much as a chunk and stands alone, so that a
+neighbours. A line of at least `LONG_WORDS` words (one more than its spaces) is as much as a chunk and stands alone, so that a
 repeated passage is met whatever stands around it. Chunks of several lines with words, and long
 lines, are grouped over the whole table by two hashes and then by their bytes; of equal chunks the
 one in the document with the smallest id stays, there the first, and all others are removed.
@@ -26,12 +26,11 @@ WINDOW = 2
 DIVISOR = 3
 LONG_WORDS = 50
 
-
 #: What stands before a line while chunks are texts: whether it begins a chunk, whether it is blank,
 #: holds words, or is long. A line holds no line feed, so a chunk is the text up to the next "\nb".
 BEGINS, GOES_ON = "b", "c"
 BLANK, WORDS, LONG = "0", "1", "2"
-SPACE = "[ \\t\\r\\x0B\\f]"
+SPACE = " \t\r\x0b\f"
 
 
 def line_hash(line: Column) -> Column:
@@ -40,49 +39,48 @@ def line_hash(line: Column) -> Column:
 
 
 def size_mark(line: Column, long_words: int) -> Column:
-    other = SPACE.replace("[", "[^")
-    return (
-        F.when(line.rlike(f"^(?:{SPACE}*+{other}++){{{long_words}}}"), LONG)
-        .when(line.rlike(other), WORDS)
-        .otherwise(BLANK)
-    )
+    """Words are counted by spaces."""
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.when(spaces >= long_words - 1, LONG).when(F.trim(line, F.lit(SPACE)) != "", WORDS).otherwise(BLANK)
 
 
-def with_chunks(df: DataFrame, body: str, long_words: int = LONG_WORDS) -> DataFrame:
+def with_chunks(df: DataFrame, body: Column, long_words: int = LONG_WORDS) -> DataFrame:
     """Add `chunks`: the chunks of a text in order, each with marks before its lines.
 
     Neighbouring lines are seen by zipping the lines with themselves, shifted, so the work is linear.
     """
-    marks = F.transform(
-        F.split(body, "\n"),
-        lambda x: F.struct(x.alias("line"), line_hash(x).alias("h"), size_mark(x, long_words).alias("m")),
-    )
-    none = F.lit(None).cast("struct<line:string,h:bigint,m:string>")
-    zipped = F.arrays_zip(
-        F.col("marks").alias("own"),
-        F.concat(F.array(none), "marks").alias("one"),
-        F.concat(F.array(none, none), "marks").alias("two"),
-    )
+    none = F.lit(None).cast("struct<h:bigint,m:string>")
 
-    def marked(x: Column) -> Column:
-        one, two = x["one"], x["two"]
+    def mark(x: Column) -> Column:
+        own, one, two = x["own"], x["one"], x["two"]
         rolled = one["h"] + F.coalesce(31 * two["h"], F.lit(0))
-        begins = one["h"].isNull() | (rolled % DIVISOR == 0) | (one["m"] == LONG) | (x["own"]["m"] == LONG)
-        return F.concat(F.when(begins, BEGINS).otherwise(GOES_ON), x["own"]["m"], x["own"]["line"])
+        begins = one["h"].isNull() | (rolled % DIVISOR == 0) | (one["m"] == LONG) | (own["m"] == LONG)
+        return F.when(own.isNotNull(), F.concat(F.when(begins, BEGINS).otherwise(GOES_ON), own["m"]))
 
-    lines = F.transform(F.filter("zipped", lambda x: x["own"].isNotNull()), marked)
+    signs = F.transform(
+        "lines", lambda x: F.struct(line_hash(x).alias("h"), size_mark(x, long_words).alias("m"))
+    )
+    zipped = F.arrays_zip(
+        F.col("signs").alias("own"),
+        F.concat(F.array(none), "signs").alias("one"),
+        F.concat(F.array(none, none), "signs").alias("two"),
+    )
+    marks = F.slice(F.transform(zipped, mark), 1, F.size("signs"))
+    marked = F.zip_with("marks", "lines", lambda m, x: F.concat(m, x))
     return (
-        df.withColumn("marks", marks)
-        .withColumn("zipped", zipped)
-        .withColumn("chunks", F.split(F.array_join(lines, "\n"), f"\n(?={BEGINS})"))
-        .drop("marks", "zipped")
+        df.withColumn("lines", F.split(body, "\n"))
+        .withColumn("signs", signs)
+        .withColumn("marks", marks)
+        .withColumn("chunks", F.split(F.array_join(marked, "\n"), f"\n(?={BEGINS})"))
+        .drop("lines", "signs", "marks")
     )
 
 
 def whole(chunk: Column) -> Column:
     """Several lines with words, or a long one."""
-    line = f"[{BEGINS}{GOES_ON}]{WORDS}"
-    return chunk.startswith(BEGINS + LONG) | chunk.rlike(f"(?s)(?:^|\n){line}.*\n{line}")
+    more = f"\n{GOES_ON}{WORDS}"
+    several = chunk.contains(more) & (chunk.startswith(BEGINS + WORDS) | (F.size(F.split(chunk, more, 3)) > 2))
+    return chunk.startswith(BEGINS + LONG) | several
 
 
 def dedup_lines(
@@ -94,15 +92,16 @@ def dedup_lines(
     """
     keyed = docs.select(
         F.struct("*").alias("row"),
-        F.col(text_column).alias("body"),
         ordered_id(id_column).alias("rid"),
         text_key(text_column).alias("tid"),
     )
+    body = F.col("row").getField(text_column)
+    # The outer form, since the optimizer would work out `chunks` again to test that it is not empty.
     chunks = (
-        with_chunks(keyed, "body", long_words)
-        .select("rid", "tid", F.posexplode("chunks").alias("k", "bytes"))
+        with_chunks(keyed, body, long_words)
+        .select("rid", "tid", F.posexplode_outer("chunks").alias("k", "bytes"))
         .where(whole(F.col("bytes")))
-        .select("rid", "tid", "k", F.xxhash64("bytes").alias("h1"), F.xxhash64(F.lit(1), F.reverse("bytes")).alias("h2"), "bytes")
+        .select("rid", "tid", "k", F.xxhash64("bytes").alias("h1"), F.xxhash64(F.lit(1), "bytes").alias("h2"), "bytes")
     )
     same_bytes = chunks.groupBy("h1", "h2", "bytes").agg(F.count("*").alias("copies"), F.min("rid").alias("keeper"))
     repeated = (
@@ -119,16 +118,16 @@ def dedup_lines(
     removed = (
         per_text.where("size(at) > 0").groupBy("rid", "tid").agg(F.flatten(F.collect_list("at")).alias("gone"))
     )
-    left = with_chunks(keyed.join(removed, ["rid", "tid"], "left"), "body", long_words)
+    left = with_chunks(keyed.join(removed, ["rid", "tid"], "left"), body, long_words)
     gone = F.map_from_arrays("gone", F.transform("gone", lambda k: F.lit(True)))
     left = left.withColumn("gone_map", gone)
     stays = F.array_join(F.filter("chunks", lambda c, k: ~F.coalesce(F.element_at("gone_map", k), F.lit(False))), "\n")
     left = left.withColumn("stays", F.when(F.col("gone").isNotNull(), stays))
-    lines = F.when(F.col("body").isNull(), F.lit(0)).otherwise(F.size(F.split("body", "\n")))
+    lines = F.when(body.isNull(), F.lit(0)).otherwise(F.size(F.split(body, "\n")))
     still = F.when(F.col("stays") == "", F.lit(0)).otherwise(F.size(F.split("stays", "\n")))
     return left.select(
         "row",
-        F.coalesce(F.regexp_replace("stays", f"(^|\n)[{BEGINS}{GOES_ON}][{BLANK}{WORDS}{LONG}]", "$1"), "body").alias("text"),
+        F.coalesce(F.regexp_replace("stays", f"(^|\n)[{BEGINS}{GOES_ON}][{BLANK}{WORDS}{LONG}]", "$1"), body).alias("text"),
         lines.alias("n_lines"),
         F.when(F.col("gone").isNull(), F.lit(0)).otherwise(lines - still).alias("n_removed"),
     )
