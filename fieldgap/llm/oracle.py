@@ -8,18 +8,18 @@ LINE_DEDUP = """
 with lines as (
   select doc_id, u.i as i, u.line as line,
          cast(('0x' || substr(md5(u.line), 1, 8)) as bigint) as h,
-         len(list_filter(regexp_split_to_array(u.line, '[ \\t\\r\\x0B\\f\\n]+'), lambda x: x <> '')) as w
+         strlen(u.line) - strlen(replace(u.line, ' ', '')) >= 49 as long_line, trim(u.line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) <> '' as has_words
   from (select doc_id, unnest(list_transform(string_split(text, chr(10)), lambda x, i: {'i': i, 'line': x})) as u
         from documents where text is not null)
 ), cut as (
-  select *, ((h + 31 * coalesce(lag(h) over d, 0)) % 3 = 0 or w >= 50 or coalesce(lead(w) over d, 50) >= 50) as last
+  select *, ((h + 31 * coalesce(lag(h) over d, 0)) % 3 = 0 or long_line or coalesce(lead(long_line) over d, true)) as last
   from lines window d as (partition by doc_id order by i)
 ), numbered as (
   select *, coalesce(sum(last::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as k
   from cut
 ), chunks as (
   select doc_id, k, string_agg(line, chr(10) order by i) as body, count(*) as n,
-         count(*) filter (w > 0) > 1 or min_by(w, i) >= 50 as full_chunk
+         count(*) filter (has_words) > 1 or bool_or(long_line) as full_chunk
   from numbered group by doc_id, k
 ), groups as (
   select body, count(*) as copies, min(doc_id) as keeper from chunks where full_chunk group by body
@@ -68,8 +68,8 @@ with body as (
     lambda x, i: {'i': i, 'b': regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g')}
   )) as u from body
 ), clean as (
-  select page_id, u.i as i, trim(regexp_replace(replace(replace(replace(replace(
-    u.b, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) as b
+  select page_id, u.i as i, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    u.b, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) as b
   from blocks
 ), texts as (select page_id, string_agg(b, chr(10) order by i) as text from clean where b <> '' group by page_id)
 select page_id, url, coalesce(text, '') as text, length(coalesce(text, ''))::bigint as n_chars
