@@ -352,7 +352,8 @@ def near_duplicates(
     of_mark = marks.join(linked_marks, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component", "least").alias("component")
     )
-    return rows.join(of_mark, "fp").select(
+    # Written, so that a fingerprint of very many rows can be split in the join.
+    return rows.join(written(of_mark, "labels"), "fp").select(
         "id", "tid", "fp", "root", F.when(F.col("component") < LAST_ID, F.col("component")).alias("component")
     )
 
