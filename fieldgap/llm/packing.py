@@ -30,7 +30,7 @@ OPEN_WINDOWS = 32
 MERGE = 64
 ID_BYTES = 4
 #: Distinct words whose ids a task remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 #: A sequence id is the round of merging, the task and the count in the task, which has so many bits.
 TASK_BITS = 24
 
@@ -108,28 +108,55 @@ class Packer:
         return last if last.used else None
 
 
+def byte_characters() -> list[str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 def word_ids(path: str) -> Callable[[str], bytes]:
-    """A text's ids as little-endian 32-bit numbers.
+    """A text's ids as little-endian 32-bit numbers, equal to the tokenizer's.
 
-    The tokenizer drops white space and never looks across it, so ids of the parts between spaces
-    are joined, and those of frequent parts remembered.
+    The tokenizer drops white space, never looks across it, lowers letters and splits what remains by a
+    pattern before its model sees a word. For characters that need no normalisation but lowering, the
+    same split is made here and the model's ids of frequent words are remembered; parts with any
+    other character go through the whole tokenizer.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    model, alphabet = tokenizer.model, byte_characters()
     known: dict[str, bytes] = {}
+    # The tokenizer's own pattern for the characters of PLAIN, lowered.
+    letters = "a-zà-öø-ÿß"
+    word = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^\\s0-9{letters}]+")
+    plain = re.compile("[\t\n\r\x20-\x7e\u00c0-\u00ff]*")
     spaces = re.compile("[ \t\r\n]+")
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def packed(ids: Iterable[int]) -> bytes:
+        return b"".join(i.to_bytes(ID_BYTES, "little") for i in ids)
+
+    def of_words(text: str) -> bytes:
+        words = word.findall(text.lower())
+        for w in set(words).difference(known):
+            coded = w if w.isascii() else "".join(alphabet[b] for b in w.encode())
+            known[w] = packed(t.id for t in model.tokenize(coded))
+        return b"".join(map(known.__getitem__, words))
+
+    def is_plain(text: str) -> bool:
+        return plain.fullmatch(text) is not None and not any(t in text for t in special)
 
     def encode(text: str) -> bytes:
+        if len(known) > REMEMBERED:
+            known.clear()
+        if is_plain(text):
+            return of_words(text)
         parts = spaces.split(text)
-        new = [p for p in set(parts) if p not in known]
-        if new:
-            if len(known) > REMEMBERED:
-                known.clear()
-                new = list(set(parts))
-            for part, coded in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[part] = b"".join(i.to_bytes(ID_BYTES, "little") for i in coded.ids)
-        return b"".join(map(known.__getitem__, parts))
+        return b"".join(
+            of_words(p) if is_plain(p) else packed(tokenizer.encode(p, add_special_tokens=False).ids) for p in parts
+        )
 
     return encode
 
