@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldgap.llm.common import bounded_batches
+from fieldgap.llm.common import bounded_batches, written
 from fieldgap.llm.url_rules import host_of
 
 #: Pages that one wrapper is inferred from.
@@ -383,7 +383,8 @@ def main_text(
         keyed.groupBy("host").count().where(F.col("count") > group)
         .select("host", F.ceil(F.col("count") / group).alias("parts"))
     )
-    dealt = keyed.join(large, "host", "left").select(
+    # Written first: where few hosts are large, their list is broadcast and pages are shuffled once.
+    dealt = keyed.join(written(large, "large-hosts"), "host", "left").select(
         "host", F.pmod(F.xxhash64("id", "url"), F.coalesce("parts", F.lit(1))).alias("part"), "id", "url", "html"
     )
     return bounded_batches(
