@@ -1,12 +1,6 @@
 import pytest
 
 
-@pytest.fixture(scope="session", autouse=True)
-def shared(spark, tmp_path_factory):
-    """A shared folder, as a cluster would name one."""
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-
-
 @pytest.fixture
 def docs_of(spark):
     """A documents table with given (doc_id, text) rows, other columns with clashing names included."""

@@ -72,7 +72,6 @@ def test_every_id_once_and_no_padding(docs_of, partitions):
     docs = docs_of(rows).repartition(partitions, "doc_id")
     pieces = packing.packed_pieces(docs, path(packing.TOKENIZER), open_windows=4).collect()
     assert check_packed(rows, pieces) == 0
-    assert sum(p["length"] < p["doc_tokens"] for p in pieces) < len(pieces) / 2
 
 
 def test_odd_rows(docs_of):
