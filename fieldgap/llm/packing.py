@@ -17,6 +17,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -127,7 +128,6 @@ def word_ids(path: str) -> Callable[[str], bytes]:
 
     tokenizer = Tokenizer.from_file(path)
     model, alphabet = tokenizer.model, byte_characters()
-    known: dict[str, bytes] = {}
     # The tokenizer's own pattern for the characters of PLAIN, lowered.
     letters = "a-zà-öø-ÿß"
     word = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^\\s0-9{letters}]+")
@@ -135,15 +135,19 @@ def word_ids(path: str) -> Callable[[str], bytes]:
     spaces = re.compile("[ \t\r\n]+")
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
-    def packed(ids: Iterable[int]) -> bytes:
-        return b"".join(i.to_bytes(ID_BYTES, "little") for i in ids)
+    def packed(ids: list[int]) -> bytes:
+        return np.array(ids, "<u4").tobytes() if len(ids) > 8 else b"".join([i.to_bytes(ID_BYTES, "little") for i in ids])
+
+    class Known(dict):
+        def __missing__(self, w: str) -> bytes:
+            coded = w if w.isascii() else "".join([alphabet[b] for b in w.encode()])
+            found = self[w] = packed([t.id for t in model.tokenize(coded)])
+            return found
+
+    known = Known()
 
     def of_words(text: str) -> bytes:
-        words = word.findall(text.lower())
-        for w in set(words).difference(known):
-            coded = w if w.isascii() else "".join(alphabet[b] for b in w.encode())
-            known[w] = packed(t.id for t in model.tokenize(coded))
-        return b"".join(map(known.__getitem__, words))
+        return b"".join(map(known.__getitem__, word.findall(text.lower())))
 
     def is_plain(text: str) -> bool:
         return plain.fullmatch(text) is not None and not any(t in text for t in special)
