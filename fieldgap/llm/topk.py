@@ -14,9 +14,8 @@ vectors, each in a task of its own; a query is only sent to buckets that may hol
 back with k rows of each. All of a bucket's vectors are compared, so results are exact.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part, as query or
-candidate; so do vectors of another size than the most frequent one's in the same product (missing
-components count as zero); ties go to the smaller id; fewer candidates than k give all of them; rows
-of one id are each other's own and never meet.
+candidate; in vectors of different sizes missing components count as zero; ties go to the smaller id;
+fewer candidates than k give all of them; rows of one id are each other's own and never meet.
 """
 
 from __future__ import annotations
