@@ -66,18 +66,25 @@ def next_history(
 
     A version closes when a check column changed (null-safe) or the key is gone; a changed,
     new or returning key opens one. Other columns of an unchanged key keep the values of the
-    version that is open. Closed versions pass through without being joined.
+    version that is open. Closed versions pass through without being joined. Columns that only the
+    delivery has are null in older versions; columns it lacks are not compared, and null in new ones.
     """
-    cols = source.columns
+    known = [c for c in history.columns if c not in (valid_from, valid_to)]
+    cols = known + [c for c in source.columns if c not in known]
+
+    def whole_row(df: DataFrame) -> list[Column]:
+        other = source if df is history else history
+        return [F.col(c) if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in cols]
+
     old = open_versions(history, valid_to).select(
-        F.struct(*cols, valid_from).alias("_old"), F.col(key).alias("_old_key")
+        F.struct(*whole_row(history), valid_from).alias("_old"), F.col(key).alias("_old_key")
     )
-    new = source.select(F.struct(*cols).alias("_new"), F.col(key).alias("_new_key"))
+    new = source.select(F.struct(*whole_row(source)).alias("_new"), F.col(key).alias("_new_key"))
     pairs = old.join(new, F.col("_old_key") == F.col("_new_key"), "full")
 
     had, has = F.col("_old_key").isNotNull(), F.col("_new_key").isNotNull()
     same = F.lit(True)
-    for c in check_cols:
+    for c in (c for c in check_cols if c in source.columns):
         same = same & F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
     unchanged = had & has & same
 

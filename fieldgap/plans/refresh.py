@@ -6,6 +6,8 @@ each table: a lost executor only repeats work of the model being written.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 import uuid
 from collections.abc import Callable, Mapping
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldgap.operators.checks import run_checks
-from fieldgap.plans import intermediate, marts, staging
+from fieldgap.plans import intermediate, marts, reference, staging
 from fieldgap.plans.catalog import judge_fitment, judge_parts
 from fieldgap.plans.reference import (
     COMPLAINT_FILES,
@@ -33,6 +35,12 @@ from fieldgap.sources.feeds import read_feed
 from fieldgap.sources.landing import LandingResult, land_flat_files
 from fieldgap.sources.store import Warehouse, utc_now
 
+
+
+class DataTestError(RuntimeError):
+    """Tests of error severity failed; the models they looked at are not current."""
+
+
 RUN_SCHEMA = "run_id string, stage string, status string, seconds double, message string, finished_at timestamp"
 
 
@@ -47,6 +55,13 @@ class Inputs:
     parts_feed: str | None = None
     fitment_feed: str | None = None
 
+    def check(self) -> None:
+        """Paired inputs are given together."""
+        for pair in (("reference_years", "reference_types"), ("parts_feed", "fitment_feed")):
+            given = [name for name in pair if getattr(self, name)]
+            if len(given) == 1:
+                raise ValueError(f"{given[0]} is given without its partner of {pair}")
+
 
 def land(spark: SparkSession, wh: Warehouse, inputs: Inputs, force: bool = False) -> list[LandingResult]:
     return land_flat_files(spark, wh, RECALL_FILES + COMPLAINT_FILES, inputs.flat_files, force)
@@ -93,7 +108,28 @@ def build_models(
     full_refresh: bool = False,
     drop_vanished: bool = False,
 ) -> dict[str, DataFrame]:
-    """Rebuild every model in dependency order and return the published frames."""
+    """Rebuild every model in dependency order, make all current and return the frames."""
+    m, paths = write_models(spark, wh, as_of_year, full_refresh, drop_vanished)
+    wh.commit(paths)
+    return m
+
+
+def build_fingerprint(wh: Warehouse, as_of_year: int) -> str:
+    """What models depend on: versions of bronze tables, parameters, rules and reference lists."""
+    rules = {k: sorted(map(repr, v)) if isinstance(v, set | frozenset) else repr(v) for k, v in vars(reference).items() if k.isupper()}
+    state = json.dumps([wh.versions("bronze"), as_of_year, rules], sort_keys=True)
+    return hashlib.sha256(state.encode()).hexdigest()
+
+
+def write_models(
+    spark: SparkSession,
+    wh: Warehouse,
+    as_of_year: int,
+    full_refresh: bool = False,
+    drop_vanished: bool = False,
+) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Write every model as a version that is not current yet; returns frames and paths."""
+    staged: dict[str, str] = {}
     aliases, taxonomy, rules = make_aliases(spark), component_taxonomy(spark), model_rules(spark)
     bronze = {
         name: wh.read(f"bronze.{name}")
@@ -102,8 +138,9 @@ def build_models(
     m: dict[str, DataFrame] = {"make_aliases": aliases, **bronze}
 
     def put(layer: str, **frames: DataFrame) -> None:
-        written = wh.publish({f"{layer}.{name}": df for name, df in frames.items()})
-        m.update({table.split(".", 1)[1]: df for table, df in written.items()})
+        paths = wh.write_versions({f"{layer}.{name}": df for name, df in frames.items()})
+        staged.update(paths)
+        m.update({table.split(".", 1)[1]: spark.read.parquet(path) for table, path in paths.items()})
 
     def current(table: str) -> DataFrame | None:
         return None if full_refresh else wh.read_or_none(table)
@@ -116,11 +153,11 @@ def build_models(
         stg_catalog_parts=staging.staged_parts(bronze["catalog_parts"]),
         stg_catalog_fitment=staging.staged_fitment(bronze["catalog_fitment"]),
     )
-    recalls, complaints, reference = m["stg_recalls"], m["stg_complaints"], m["stg_reference"]
+    recalls, complaints, years = m["stg_recalls"], m["stg_complaints"], m["stg_reference"]
     conformed_before = current("intermediate.int_model_conformance")
     put(
         "intermediate",
-        int_model_conformance=intermediate.model_conformance(recalls, complaints, reference, rules),
+        int_model_conformance=intermediate.model_conformance(recalls, complaints, years, rules),
         int_fitment_exploded=intermediate.fitment_years(m["stg_catalog_fitment"]),
     )
     conformance, fitted = m["int_model_conformance"], m["int_fitment_exploded"]
@@ -133,7 +170,7 @@ def build_models(
     )
     put(
         "intermediate",
-        int_vehicles=intermediate.vehicle_universe(reference, recalls, complaints, conformance, fitted),
+        int_vehicles=intermediate.vehicle_universe(years, recalls, complaints, conformance, fitted),
     )
     put(
         "marts",
@@ -169,10 +206,10 @@ def build_models(
             m["dim_vehicle"],
         ),
         mart_data_conformance=marts.mart_data_conformance(
-            recalls, complaints, reference, conformance, fitted, m["int_vehicles"]
+            recalls, complaints, years, conformance, fitted, m["int_vehicles"]
         ),
     )
-    return m
+    return m, staged
 
 
 def check_models(wh: Warehouse, m: Mapping[str, DataFrame], as_of_year: int) -> DataFrame:
@@ -192,6 +229,13 @@ def check_models(wh: Warehouse, m: Mapping[str, DataFrame], as_of_year: int) ->
     return wh.log("meta.test_results").filter(F.col("invocation_id") == invocation)
 
 
+def require_passed(results: DataFrame) -> None:
+    """Raise if a test of error severity failed; the log has at most one row per test."""
+    failed = sorted(r.unique_id for r in results.filter("status in ('fail', 'error')").select("unique_id").collect())
+    if failed:
+        raise DataTestError(f"{len(failed)} data tests failed: {', '.join(failed)}")
+
+
 class _Stages:
     """Times each stage and appends one row per stage to the run log (SRC-16)."""
 
@@ -203,7 +247,7 @@ class _Stages:
         try:
             return work()
         except Exception as err:
-            status, message = "failed", str(err)[:500]
+            status, message = "failed", str(err)
             raise
         finally:
             row = (self.run_id, stage, status, round(time.monotonic() - started, 3), message, utc_now())
@@ -222,22 +266,25 @@ def refresh(
 ) -> list[LandingResult]:
     """Land what is given, rebuild and test. Returns the landing outcome per flat file.
 
-    Nothing is rebuilt when no file changed, no other input was given and the models exist.
+    Models are rebuilt whenever the landed versions, the parameters or the reference lists differ
+    from those of the last build that passed its tests, so a run that failed on the way is made up
+    for by the next one. Models become current together, after their tests.
     """
+    inputs.check()
     stage = _Stages(spark, wh)
     landed = stage("land", lambda: land(spark, wh, inputs, force=full_refresh))
-    changed = full_refresh or any(r.status == "loaded" for r in landed)
     if inputs.reference_years and inputs.reference_types:
         stage("reference", lambda: load_reference(spark, wh, inputs))
-        changed = True
     if inputs.parts_feed and inputs.fitment_feed:
         raw_parts = read_feed(spark, inputs.parts_feed, PART_FEED_COLUMNS)
         raw_fitment = read_feed(spark, inputs.fitment_feed, FITMENT_FEED_COLUMNS)
         stage("catalog", lambda: publish_catalog(spark, wh, raw_parts, raw_fitment, inputs.as_of_year))
-        changed = True
-    if not changed and skip_unchanged and wh.exists("marts.mart_coverage_gap"):
+    fingerprint = build_fingerprint(wh, inputs.as_of_year)
+    if skip_unchanged and not full_refresh and wh.last_build() == fingerprint:
         return landed
-    m = stage("models", lambda: build_models(spark, wh, inputs.as_of_year, full_refresh, drop_vanished))
+    m, paths = stage("models", lambda: write_models(spark, wh, inputs.as_of_year, full_refresh, drop_vanished))
     if run_tests:
-        stage("tests", lambda: check_models(wh, m, inputs.as_of_year))
+        stage("tests", lambda: require_passed(check_models(wh, m, inputs.as_of_year)))
+    wh.commit(paths)
+    wh.record_build(fingerprint)
     return landed

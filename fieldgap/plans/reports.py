@@ -255,7 +255,9 @@ def _of_newest_run(log: DataFrame, run: str, ts: str) -> DataFrame:
 def latest_test_status(results: DataFrame) -> DataFrame:
     """Q-9: node counts per resource type and status of the newest build."""
     rows = _of_newest_run(results.filter("command = 'build'"), "invocation_id", "recorded_at")
-    return pivot_counts(rows, "resource_type", "status", ["success", "pass", "warn", "fail", "error"])
+    listed = ["success", "pass", "warn", "fail", "error"]
+    known = F.coalesce(F.when(F.col("status").isin(listed), F.col("status")), F.lit("other"))
+    return pivot_counts(rows.withColumn("status", known), "resource_type", "status", [*listed, "other"])
 
 
 def failing_nodes(results: DataFrame) -> DataFrame:
@@ -279,9 +281,9 @@ def feed_summary(runs: DataFrame) -> DataFrame:
     return latest_feed_metrics(runs).drop("reason", "reason_count").dropDuplicates(["feed"])
 
 
-def quarantine_sample(quarantined: DataFrame, k: int = 200) -> DataFrame:
-    """Q-10: some rejected rows."""
-    return quarantined.limit(k)
+def quarantine_sample(quarantined: DataFrame, k: int = 200) -> tuple[DataFrame, DataFrame]:
+    """Q-10: the first rejected rows by all their columns, and whether there are more."""
+    return capped(quarantined, k, [F.col(c) for c in quarantined.columns])
 
 
 def conformance_table(m: Tables) -> DataFrame:
@@ -292,18 +294,18 @@ def conformance_table(m: Tables) -> DataFrame:
     ).orderBy("source")
 
 
-def load_history(manifest: DataFrame, k: int = 50) -> DataFrame:
-    """Q-11: newest load attempts."""
-    return top_k(manifest, [F.desc("loaded_at"), "source"], k).select(
+def load_history(manifest: DataFrame, k: int = 50) -> tuple[DataFrame, DataFrame]:
+    """Q-11: newest load attempts, and whether there are more."""
+    rows, more = capped(manifest, k, [F.desc("loaded_at"), F.col("source"), F.col("batch_id")])
+    return rows.select(
         "source", "status", "rows_loaded", "columns_seen", "columns_expected", "etag", "loaded_at"
-    )
+    ), more
 
 
-def run_history(runs: DataFrame, k: int = 30) -> DataFrame:
-    """Q-11: newest stage runs."""
-    return top_k(runs, [F.desc("finished_at"), "stage"], k).select(
-        "run_id", "stage", "status", "seconds", "finished_at"
-    )
+def run_history(runs: DataFrame, k: int = 30) -> tuple[DataFrame, DataFrame]:
+    """Q-11: newest stage runs, and whether there are more."""
+    rows, more = capped(runs, k, [F.desc("finished_at"), F.col("stage"), F.col("run_id")])
+    return rows.select("run_id", "stage", "status", "seconds", "finished_at"), more
 
 
 # -------------------------------------------------------------- question set (Q-12..Q-26)

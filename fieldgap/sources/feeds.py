@@ -17,7 +17,8 @@ def read_feed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFra
     order whichever way Spark packs blocks into tasks.
     """
     schema = ", ".join(f"`{c}` string" for c in columns)
-    rows = spark.read.csv(path, schema=schema, header=True, enforceSchema=False, escape='"')
+    # Quoted cells may hold line breaks, so a file is one task.
+    rows = spark.read.csv(path, schema=schema, header=True, enforceSchema=False, escape='"', multiLine=True)
     position = F.struct(
         F.col("_metadata.file_path"),
         F.col("_metadata.file_block_start"),

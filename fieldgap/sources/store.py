@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from fieldgap.operators.dedup import latest_per_key
 
 WRITERS = 4
+BUILD_SCHEMA = "fingerprint string, built_at timestamp"
 COMMIT_SCHEMA = "seq bigint, table_name string, part string, path string, committed_at timestamp"
 MANIFEST_SCHEMA = (
     "batch_id string, source string, url string, etag string, last_modified string, "
@@ -76,11 +77,8 @@ class Warehouse:
     def read_or_none(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None
 
-    def publish(self, tables: dict[str, DataFrame], part: str = "") -> dict[str, DataFrame]:
-        """Write all frames as new versions and make them current together.
-
-        Returns readers of exactly the versions that were written.
-        """
+    def write_versions(self, tables: dict[str, DataFrame], part: str = "") -> dict[str, str]:
+        """Write all frames as new versions that nobody reads yet; returns their paths."""
         seq = max((row.seq for row in self._current()), default=0) + 1
         version = f"v{seq:08d}-{uuid.uuid4().hex[:8]}"
         paths = {}
@@ -92,15 +90,42 @@ class Warehouse:
         def write(table: str) -> None:
             tables[table].write.mode("errorifexists").parquet(paths[table])
 
-        # Independent jobs share the cluster; the commit below waits for all of them.
+        # Independent jobs share the cluster; a commit waits for all of them.
         with ThreadPoolExecutor(max_workers=WRITERS) as pool:
             list(pool.map(write, tables))
+        return paths
+
+    def commit(self, paths: dict[str, str], part: str = "") -> None:
+        """Make written versions current together."""
+        seq = max((row.seq for row in self._current()), default=0) + 1
         now = utc_now()
         rows = [(seq, table, part, path, now) for table, path in paths.items()]
         commit = self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
         commit.write.mode("append").parquet(f"{self.root}/meta/commits")
+
+    def publish(self, tables: dict[str, DataFrame], part: str = "") -> dict[str, DataFrame]:
+        """Write all frames as new versions and make them current together.
+
+        Returns readers of exactly the versions that were written.
+        """
+        paths = self.write_versions(tables, part)
+        self.commit(paths, part)
         return {table: self.spark.read.parquet(path) for table, path in paths.items()}
 
+    def versions(self, layer: str) -> list[tuple[str, str, str]]:
+        """(table, part, path) of every current version of a layer."""
+        return sorted((r.table_name, r.part, r.path) for r in self._current() if r.table_name.startswith(f"{layer}.") and r.path)
+
+    # -- builds --------------------------------------------------------------------
+    def record_build(self, fingerprint: str) -> None:
+        """Remember what the current models were built from."""
+        row = self.spark.createDataFrame([(fingerprint, utc_now())], BUILD_SCHEMA)
+        self.append("meta.builds", row.coalesce(1))
+
+    def last_build(self) -> str | None:
+        builds = self._read_or_none(f"{self.root}/meta/builds", BUILD_SCHEMA)
+        return None if builds is None else builds.agg(F.max_by("fingerprint", "built_at")).first()[0]
+
     def replace(self, table: str, df: DataFrame) -> DataFrame:
         """Full replacement of one table."""
         return self.publish({table: df})[table]

@@ -5,9 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from fieldgap.operators.incremental import first_versions, next_history
 from fieldgap.plans import marts, reports
+from fieldgap.plans import refresh as plan
 from fieldgap.plans.reference import COMPLAINT_COLUMNS, FITMENT_FEED_COLUMNS, PART_FEED_COLUMNS, RECALL_COLUMNS
-from fieldgap.plans.refresh import Inputs, refresh
+from fieldgap.plans.refresh import DataTestError, Inputs, refresh
 from fieldgap.sources.store import Warehouse
 
 YEAR = 2025
@@ -165,6 +167,64 @@ def test_ad_hoc_sql(spark, built):
     assert rows.count() == 2 and tuple(flag.first()) == (2, True)
 
 
+def test_failed_builds_are_made_up_for(spark, built, monkeypatch):
+    """A delivery that landed before a failure reaches the marts with the next run."""
+    root, wh, inputs = built
+    (root / "extra.txt").write_text(tabbed(COMPLAINT_COLUMNS, [complaint(30, 300, compdesc="STEERING")]))
+    later = Inputs(as_of_year=YEAR, flat_files={**inputs.flat_files, "complaints_2020_2024": str(root / "extra.txt")})
+    before = wh.read("marts.fct_complaint").count()
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(plan, "write_models", broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            refresh(spark, wh, later)
+    with monkeypatch.context() as patch:
+        patch.setattr(plan.marts, "mart_component_trends", broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            refresh(spark, wh, later)
+    assert wh.read("marts.fct_complaint").count() == before
+    vehicles = marts.dim_vehicle
+    with monkeypatch.context() as patch:
+        patch.setattr(plan.marts, "dim_vehicle", lambda rows, year: vehicles(rows, year).withColumn("make", F.lit(None).cast("string")))
+        with pytest.raises(DataTestError, match="dim_vehicle"):
+            refresh(spark, wh, later)
+    assert wh.read("marts.fct_complaint").count() == before
+    again = refresh(spark, wh, later)
+    assert {r.status for r in again} == {"unchanged"}
+    assert wh.read("marts.fct_complaint").filter("complaint_id = 300").count() == 1
+    (root / "extra.txt").write_text("")
+    refresh(spark, wh, later, run_tests=False, drop_vanished=True)
+
+
+def test_parameters_are_part_of_the_build(spark, built):
+    _, wh, inputs = built
+    quiet = inputs.flat_files
+    ages = lambda: {r.model_year: r.vehicle_age_years for r in wh.read("marts.dim_vehicle").collect()}
+    now = ages()
+    refresh(spark, wh, Inputs(as_of_year=YEAR + 5, flat_files=quiet), run_tests=False)
+    assert ages() != now
+    refresh(spark, wh, Inputs(as_of_year=YEAR, flat_files=quiet), run_tests=False)
+    assert ages() == now
+
+
+def test_half_a_pair_is_refused(spark, built):
+    _, wh, inputs = built
+    with pytest.raises(ValueError, match="parts_feed"):
+        refresh(spark, wh, Inputs(as_of_year=YEAR, parts_feed=inputs.parts_feed))
+
+
+def test_history_takes_new_and_missing_columns(spark):
+    first = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, price int, old string")
+    history = first_versions(first, F.lit("2024-01-01").cast("timestamp"))
+    second = spark.createDataFrame([("a", 1, "n"), ("b", 3, "m")], "k string, price int, extra string")
+    rows = next_history(history, second, "k", ["price"], F.lit("2024-02-01").cast("timestamp")).collect()
+    found = sorted(((r.k, r.price, r.old, r.extra, r.valid_to is None) for r in rows), key=str)
+    assert found == [("a", 1, "x", None, True), ("b", 2, "y", None, False), ("b", 3, None, "m", True)]
+
+
 def test_second_delivery_updates_facts_and_history(spark, built):
     root, wh, inputs = built
     # A correction moves complaint 100 to one component, a re-delivered row wins by load time.

@@ -91,9 +91,15 @@ def test_drift_is_recorded(spark, tmp_path):
     assert (logged.columns_seen, logged.columns_expected) == (53, 51)
 
 
-def test_missing_file_is_skipped(spark, tmp_path):
+def test_missing_file_raises(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path / "wh"))
-    assert land_flat_files(spark, wh, SPECS, {"complaints_a": str(tmp_path / "none.txt")}) == []
+    with pytest.raises(FileNotFoundError, match="complaints_a"):
+        land_flat_files(spark, wh, SPECS, {"complaints_a": str(tmp_path / "none.txt")})
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "feed.csv").write_text('a,b\n1,"two\nlines"\n2,x\n')
+    assert [(r.a, r.b) for r in feeds.read_feed(spark, str(tmp_path / "feed.csv"), ["a", "b"]).collect()] == [("1", "two\nlines"), ("2", "x")]
 
 
 def test_publish_is_all_or_nothing(spark, tmp_path):
