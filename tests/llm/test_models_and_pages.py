@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from test_simhash import slow_components, slow_fingerprint
 
 import corpus_pipeline
 from fieldgap.llm import quality, topk, toxicity, url_rules, wrappers
@@ -62,8 +63,9 @@ def test_pairwise_weights_order_the_classes():
     draw = np.random.default_rng(1)
     x = draw.normal(size=(400, 3))
     y = (x[:, 0] - 0.5 * x[:, 2] > 0).astype(int)
-    strength = x @ quality.rank(x, y, 5000)
-    assert (strength[y == 1][:, None] <= strength[y == 0][None, :]).mean() < 0.001
+    strength = x @ quality.rank(x, y)
+    # The ridge keeps weights finite, so pairs next to the border may be out of order.
+    assert (strength[y == 1][:, None] <= strength[y == 0][None, :]).mean() < 0.005
 
 
 def page(body, ad="", head="<title>t</title>"):
@@ -204,10 +206,12 @@ def test_pipeline_catches_what_is_planted(spark, planted_folder):
     passage = rows[245][1].rsplit("\n", 1)[1]
     assert sum(passage in t for t in stages["line dedup"].values()) == 1
     assert set(range(240)) <= set(stages["near dedup"])
-    # Line dedup takes shared lines from near copies; the stage alone finds them in its own input.
+    # Line dedup takes shared lines from near copies; the stage alone is held against bit distances of its own input.
     near = dict(corpus_pipeline.STAGES)["near dedup"](spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
     kept = {r["doc_id"] for r in near.collect()}
-    assert not set(range(1000, 1005)) & kept and set(range(240)) <= kept
+    marks = [(i, slow_fingerprint(t)) for i, t in rows]
+    assert kept == {i for (i, _), first in zip(marks, slow_components(marks, 4), strict=True) if i == first}
+    assert set(range(1000, 1005)) - kept
     assert set(stages["near dedup"]) - set(stages["decontamination"]) == {4000}
     pieces = corpus_pipeline.run(spark, folder).collect()
     assert {p["doc_id"] for p in pieces} == set(stages["decontamination"])
