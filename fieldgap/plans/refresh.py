@@ -36,11 +36,12 @@ from fieldgap.sources.landing import LandingResult, land_flat_files
 from fieldgap.sources.store import Warehouse, utc_now
 
 
-
 class DataTestError(RuntimeError):
     """Tests of error severity failed; the models they looked at are not current."""
 
 
+#: One part per run, current together with the tables that the run published.
+CATALOG_RUNS = "meta.catalog_dq_runs"
 RUN_SCHEMA = "run_id string, stage string, status string, seconds double, message string, finished_at timestamp"
 
 
@@ -77,28 +78,28 @@ def load_reference(spark: SparkSession, wh: Warehouse, inputs: Inputs) -> None:
 
 
 def publish_catalog(spark: SparkSession, wh: Warehouse, raw_parts: DataFrame, raw_fitment: DataFrame, as_of_year: int) -> None:
-    """Validate both feeds and publish bronze, quarantine and run metrics together."""
+    """Validate both feeds and publish bronze, quarantine and run metrics in one commit."""
     run_id, now = uuid.uuid4().hex[:12], utc_now()
     stamp, run = F.lit(now), F.lit(run_id)
     parts = judge_parts(raw_parts)
-    # The parts outcome is written first: the fitment contract looks valid numbers up in it.
-    written = wh.publish(
+    paths = wh.write_versions(
         {
-            "bronze.catalog_parts_candidate": parts.valid.withColumn("_loaded_at", stamp),
+            "bronze.catalog_parts": parts.valid.withColumn("_loaded_at", stamp),
+            "quarantine.catalog_parts": parts.quarantined.withColumn("_run_id", run),
         }
     )
-    valid_parts = written["bronze.catalog_parts_candidate"]
+    # The fitment contract looks valid numbers up in what was written, which nobody else sees yet.
+    valid_parts = spark.read.parquet(paths["bronze.catalog_parts"])
     fitment = judge_fitment(raw_fitment, valid_parts, make_aliases(spark), as_of_year)
-    wh.publish(
+    paths |= wh.write_versions(
         {
-            "bronze.catalog_parts": valid_parts,
             "bronze.catalog_fitment": fitment.valid.withColumn("_loaded_at", stamp),
-            "quarantine.catalog_parts": parts.quarantined.withColumn("_run_id", run),
             "quarantine.catalog_fitment": fitment.quarantined.withColumn("_run_id", run),
         }
     )
-    metrics = parts.metrics.unionByName(fitment.metrics)
-    wh.append("meta.catalog_dq_runs", metrics.withColumns({"run_id": run, "run_at": stamp}))
+    metrics = parts.metrics.unionByName(fitment.metrics).withColumns({"run_id": run, "run_at": stamp})
+    paths |= wh.write_versions({CATALOG_RUNS: metrics.coalesce(1)}, part=run_id)
+    wh.commit(paths, part={CATALOG_RUNS: run_id})
 
 
 def build_models(

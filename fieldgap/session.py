@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Adaptive execution coalesces small shuffle partitions, splits skewed join partitions and
 # turns joins into broadcasts only when the measured side is below the size threshold.
@@ -43,7 +44,7 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     Going through Arrow gives a local relation; a list of tuples would become an RDD scan of
     unknown size, and joins with it would shuffle the large side.
     """
-    names = [column.split()[0] for column in schema.split(",")]
+    names = StructType.fromDDL(schema).names
     columns = {name: [row[i] for row in rows] for i, name in enumerate(names)}
     return spark.createDataFrame(pa.table(columns), schema=schema)
 

@@ -35,5 +35,10 @@ def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Export a result; each task writes its part of the folder."""
-    df.write.mode("overwrite").csv(path, header=True, escape='"')
+    """Export a result; each task writes its part of the folder, sorted parts in the order of their names.
+
+    Blanks at the ends of cells stay.
+    """
+    df.write.mode("overwrite").csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )

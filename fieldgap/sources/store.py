@@ -10,7 +10,7 @@ unreferenced folder behind.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldgap.operators.dedup import latest_per_key
+from fieldgap.operators.incremental import keyed_replace
 
 WRITERS = 4
 BUILD_SCHEMA = "fingerprint string, built_at timestamp"
@@ -31,7 +32,8 @@ MANIFEST_SCHEMA = (
 
 
 def utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    """Knows its zone, so that the driver's own zone does not shift it."""
+    return datetime.now(timezone.utc)
 
 
 class Warehouse:
@@ -56,8 +58,9 @@ class Warehouse:
         commits = self._read_or_none(f"{self.root}/meta/commits", COMMIT_SCHEMA)
         if commits is None:
             return []
+        # Two publishers may have taken the same number; every reader settles on the same path.
         newest = commits.groupBy("table_name", "part").agg(
-            F.max_by("path", "seq").alias("path"), F.max("seq").alias("seq")
+            F.max_by("path", F.struct("seq", "committed_at", "path")).alias("path"), F.max("seq").alias("seq")
         )
         return newest.collect()
 
@@ -95,11 +98,12 @@ class Warehouse:
             list(pool.map(write, tables))
         return paths
 
-    def commit(self, paths: dict[str, str], part: str = "") -> None:
-        """Make written versions current together."""
+    def commit(self, paths: Mapping[str, str], part: str | Mapping[str, str] = "") -> None:
+        """Make written versions current together; `part` may name the part table by table."""
+        parts = {table: part if isinstance(part, str) else part.get(table, "") for table in paths}
         seq = max((row.seq for row in self._current()), default=0) + 1
         now = utc_now()
-        rows = [(seq, table, part, path, now) for table, path in paths.items()]
+        rows = [(seq, table, parts[table], path, now) for table, path in paths.items()]
         commit = self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
         commit.write.mode("append").parquet(f"{self.root}/meta/commits")
 
@@ -134,6 +138,32 @@ class Warehouse:
         """Replace one source's rows; an empty delivery empties that source."""
         return self.publish({table: df}, part=source)[table]
 
+    def insert_by_name(self, table: str, df: DataFrame) -> DataFrame:
+        """Add rows as a further part, matched to the table's columns by name.
+
+        Columns the rows lack are NULL; a column that the table lacks is an error.
+        """
+        target = self.read(table).schema
+        unknown = [c for c in df.columns if c not in target.names]
+        if unknown:
+            raise ValueError(f"{table} has no column {', '.join(unknown)}")
+        aligned = [(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in target]
+        return self.publish({table: df.select(*aligned)}, part=uuid.uuid4().hex[:12])[table]
+
+    def materialize(self, table: str, df: DataFrame, mode: str, keys: Sequence[str] = ()) -> DataFrame:
+        """Keep a model as a view, as a table that is replaced, or as one that keyed rows are put into."""
+        if mode == "view":
+            df.createOrReplaceTempView(table.split(".", 1)[1])
+            return df
+        if mode == "incremental":
+            if not keys:
+                raise ValueError("incremental tables need keys")
+            old = self.read_or_none(table)
+            return self.replace(table, df if old is None else keyed_replace(old, df, keys))
+        if mode == "table":
+            return self.replace(table, df)
+        raise ValueError(f"unknown mode: {mode}")
+
     # -- append-only tables --------------------------------------------------------
     def append(self, table: str, df: DataFrame) -> None:
         layer, name = table.split(".", 1)

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from fieldgap.workload import models, tables
+from fieldgap.workload import deliveries, models, tables
 from verify import rows as canonical
 
 PLAIN = "/root/testdata/sf0.001"
@@ -43,7 +43,7 @@ def check(spark, con, name, folder):
 
 
 @NEEDS_TABLES
-@pytest.mark.parametrize("name", [*tables.QUERIES, *models.QUERIES])
+@pytest.mark.parametrize("name", [*tables.QUERIES, *deliveries.QUERIES, *models.QUERIES])
 def test_query(spark, name):
     check(spark, connection(PLAIN), name, PLAIN)
 

@@ -138,7 +138,7 @@ def test_feed_contract(built):
     assert fitment.count() == 3 and fitment.filter("note = 'later copy'").count() == 0
     flags = {r.part_number: (r.make_standardized, r.model_standardized) for r in fitment.collect()}
     assert flags == {"AB12345": (True, False), "AB12346": (True, False), "AB12347": (False, True)}
-    for run in reports.feed_summary(wh.log("meta.catalog_dq_runs")).collect():
+    for run in reports.feed_summary(wh.read("meta.catalog_dq_runs")).collect():
         assert run.rows_in == run.rows_valid + run.rows_quarantined + run.deduplicated
 
 
