@@ -134,8 +134,8 @@ def fct_complaint(
     With `current`, only complaints that have a newer row are rebuilt and replaced. Names
     whose conformance changed since then are given as `renamed`; complaints that use them are
     rebuilt too. With `drop_vanished`, complaints that no delivered row names any more are
-    removed. The wide rows shuffle once, on the complaint; names are conformed on the
-    collapsed rows.
+    removed. The wide rows shuffle once, on the complaint; cited components are counted on
+    narrow rows, and names are conformed on the collapsed rows.
     """
     rows = complaints.filter(resolvable())
     if current is None:
@@ -181,13 +181,17 @@ def _collapsed_complaints(rows: DataFrame, conformance: DataFrame) -> DataFrame:
             "odometer_miles": F.max("odometer_miles"),
             "owner_state": F.min("owner_state"),
             "complaint_source": F.min("complaint_source"),
-            "components_cited": F.count_distinct("component_path"),
             "narrative": max_by_present(
                 F.col("narrative"), F.length("narrative"), F.col("complaint_component_id")
             ),
             "_loaded_at": F.max("_loaded_at"),
         },
     )
+    # A distinct count beside the wide values would shuffle them on the component too.
+    cited = rows.select("complaint_id", "component_path").groupBy("complaint_id").agg(
+        F.count_distinct("component_path").alias("components_cited")
+    )
+    header = header.join(cited, "complaint_id", "left")
     severe = F.col("is_crash") | F.col("is_fire") | (F.col("injuries") > 0) | (F.col("deaths") > 0)
     return attach_conformed(header.select("*", "_v.*"), conformance).select(
         "complaint_id",
