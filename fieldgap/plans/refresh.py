@@ -10,10 +10,11 @@ import hashlib
 import json
 import time
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from fieldgap.operators.checks import run_checks
@@ -33,7 +34,8 @@ from fieldgap.plans.suite import warehouse_tests
 from fieldgap.sources.documents import read_documents, reference_models
 from fieldgap.sources.feeds import read_feed
 from fieldgap.sources.landing import LandingResult, land_flat_files
-from fieldgap.sources.store import Warehouse, utc_now
+from fieldgap.sources.positional import content_fingerprint, read_lines
+from fieldgap.sources.store import WRITERS, Warehouse, utc_now
 
 
 class DataTestError(RuntimeError):
@@ -115,10 +117,49 @@ def build_models(
     return m
 
 
+def rules_text() -> str:
+    """All rules and reference lists as one comparable text."""
+    rules = {k: sorted(map(repr, v)) if isinstance(v, set | frozenset) else repr(v) for k, v in vars(reference).items() if k.isupper()}
+    return json.dumps(rules, sort_keys=True)
+
+
+def delivery_state(spark: SparkSession, paths: Sequence[str], *parameters: object) -> tuple[int, str]:
+    """Number of lines and a fingerprint of files, rules and parameters.
+
+    A line counts with its place, since of repeated part numbers the first one stays. Places depend
+    on how Spark splits files, so another session may see a change where there is none; never the
+    other way round.
+    """
+
+    def look(path: str) -> Row:
+        place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+        lines = read_lines(spark, path).select("value", place.alias("place"))
+        return content_fingerprint(lines, ("value", "place")).first()
+
+    with ThreadPoolExecutor(max_workers=WRITERS) as pool:
+        found = list(pool.map(look, paths))
+    state = json.dumps([[f.fingerprint for f in found], rules_text(), *parameters], default=str)
+    return sum(int(f.rows_seen) for f in found), hashlib.sha256(state.encode()).hexdigest()
+
+
+def load_if_changed(
+    spark: SparkSession, wh: Warehouse, source: str, paths: Sequence[str], parameters: Sequence[object],
+    tables: Sequence[str], load: Callable[[], None], force: bool,
+) -> None:
+    """Run `load` unless the manifest says that just this was loaded and its tables are there."""
+    rows, state = delivery_state(spark, paths, *parameters)
+    latest = wh.latest_loads()
+    known = None if latest is None else latest.filter(F.col("source") == source).first()
+    unchanged = not force and known is not None and known.sha256 == state and set(tables) <= set(wh.tables())
+    if not unchanged:
+        load()
+    status = "unchanged" if unchanged else "loaded"
+    wh.record_loads([(uuid.uuid4().hex[:12], source, ",".join(paths), None, None, state, rows, None, None, status, utc_now())])
+
+
 def build_fingerprint(wh: Warehouse, as_of_year: int) -> str:
     """What models depend on: versions of bronze tables, parameters, rules and reference lists."""
-    rules = {k: sorted(map(repr, v)) if isinstance(v, set | frozenset) else repr(v) for k, v in vars(reference).items() if k.isupper()}
-    state = json.dumps([wh.versions("bronze"), as_of_year, rules], sort_keys=True)
+    state = json.dumps([wh.versions("bronze"), as_of_year, rules_text()])
     return hashlib.sha256(state.encode()).hexdigest()
 
 
@@ -275,11 +316,28 @@ def refresh(
     stage = _Stages(spark, wh)
     landed = stage("land", lambda: land(spark, wh, inputs, force=full_refresh))
     if inputs.reference_years and inputs.reference_types:
-        stage("reference", lambda: load_reference(spark, wh, inputs))
+        documents = [inputs.reference_years, inputs.reference_types]
+
+        def reference_stage() -> None:
+            load_if_changed(
+                spark, wh, "reference", documents, [], ["bronze.vpic_models"],
+                lambda: load_reference(spark, wh, inputs), full_refresh,
+            )
+
+        stage("reference", reference_stage)
     if inputs.parts_feed and inputs.fitment_feed:
-        raw_parts = read_feed(spark, inputs.parts_feed, PART_FEED_COLUMNS)
-        raw_fitment = read_feed(spark, inputs.fitment_feed, FITMENT_FEED_COLUMNS)
-        stage("catalog", lambda: publish_catalog(spark, wh, raw_parts, raw_fitment, inputs.as_of_year))
+        supplied = [inputs.parts_feed, inputs.fitment_feed]
+
+        def publish() -> None:
+            raw_parts = read_feed(spark, inputs.parts_feed, PART_FEED_COLUMNS)
+            raw_fitment = read_feed(spark, inputs.fitment_feed, FITMENT_FEED_COLUMNS)
+            publish_catalog(spark, wh, raw_parts, raw_fitment, inputs.as_of_year)
+
+        def catalog_stage() -> None:
+            held = ["bronze.catalog_parts", "bronze.catalog_fitment"]
+            load_if_changed(spark, wh, "catalog", supplied, [inputs.as_of_year], held, publish, full_refresh)
+
+        stage("catalog", catalog_stage)
     fingerprint = build_fingerprint(wh, inputs.as_of_year)
     if skip_unchanged and not full_refresh and wh.last_build() == fingerprint:
         return landed

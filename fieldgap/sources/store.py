@@ -78,7 +78,10 @@ class Warehouse:
         return self.spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
 
     def read_or_none(self, table: str) -> DataFrame | None:
-        return self.read(table) if self.exists(table) else None
+        try:
+            return self.read(table)
+        except KeyError:
+            return None
 
     def write_versions(self, tables: dict[str, DataFrame], part: str = "") -> dict[str, str]:
         """Write all frames as new versions that nobody reads yet; returns their paths."""

@@ -37,13 +37,17 @@ def land_new_files(
 
 
 def replace_by_key(wh: Warehouse, table: str, keys: list[str], order: list) -> Callable[[DataFrame, int], None]:
-    """Batch handler: the newest row per key of the batch replaces the stored rows of that key.
+    """Batch handler: the newest row per key, of the batch and the table, stays.
 
-    A replayed batch gives the same table, so a restart after a failure is safe.
+    An older row that arrives late does not replace a newer one; of equal ones the later batch
+    wins. A replayed batch gives the same table, so a restart after a failure is safe.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        stamped = latest_per_key(batch, keys, order).withColumn("_batch", F.lit(batch_id))
+        newest = latest_per_key(batch, keys, order).withColumn("_batch", F.lit(batch_id))
         old = wh.read_or_none(table)
-        wh.replace(table, stamped if old is None else keyed_replace(old, stamped, keys))
+        if old is not None:
+            met = old.join(newest.select(*keys), keys, "left_semi").unionByName(newest, allowMissingColumns=True)
+            newest = keyed_replace(old, latest_per_key(met, keys, [*order, F.desc("_batch")]), keys)
+        wh.replace(table, newest)
 
     return apply

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fieldgap.session import scratch_path
 from fieldgap.sources.feeds import read_feed, read_seed, write_csv
 from fieldgap.sources.landing import land_flat_files
-from fieldgap.sources.positional import FlatFileSpec
+from fieldgap.sources.positional import FlatFileSpec, content_fingerprint
 from fieldgap.sources.store import Warehouse, sources_to_reload
 from fieldgap.workload.portable import portable
 
@@ -129,6 +129,30 @@ def reloaded_after_loss(spark: SparkSession, sf: str) -> DataFrame:
     return lost.unionByName(stored.select(F.lit(OPEN).alias("source"), F.lit("reloaded").alias("found"), "stored"))
 
 
+@_query(
+    "select count(*) as lines, true as same_in_other_order, false as same_after_one_cell, false as same_without_one_line from part"
+)
+def fingerprint_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-6: the fingerprint of lines does not depend on their order, but on every cell and line."""
+    part = _table(spark, sf, "part")
+    line = F.concat_ws("\t", F.col("p_partkey").cast("string"), "p_name", "p_brand")
+    first = part.agg(F.min("p_partkey").alias("k"))
+    marked = part.join(first, part["p_partkey"] == first["k"], "left")
+    changed = F.when(F.col("k").isNotNull(), F.concat(line, F.lit("x"))).otherwise(line)
+
+    def seen(lines: DataFrame, name: str) -> DataFrame:
+        return content_fingerprint(lines.select(F.col("value"))).select("rows_seen", F.col("fingerprint").alias(name))
+
+    plain = seen(part.select(line.alias("value")), "plain")
+    turned = seen(part.repartition(5, "p_name").sortWithinPartitions(F.desc("p_partkey")).select(line.alias("value")), "turned")
+    other = seen(marked.select(changed.alias("value")), "other")
+    fewer = seen(marked.where("k is null").select(line.alias("value")), "fewer")
+    told = [df.select(F.lit(1).alias("one"), "*").withColumnRenamed("rows_seen", f"rows_{i}") for i, df in enumerate((plain, turned, other, fewer))]
+    joined = told[0].join(told[1], "one").join(told[2], "one").join(told[3], "one")
+    same = {"same_in_other_order": "turned", "same_after_one_cell": "other", "same_without_one_line": "fewer"}
+    return joined.select(F.col("rows_0").alias("lines"), *[(F.col("plain") == F.col(c)).alias(n) for n, c in same.items()])
+
+
 FEED_COLUMNS = ["part_number", "name", "note", "remark"]
 
 

@@ -158,6 +158,10 @@ def test_rerun_without_changes_rebuilds_nothing(spark, built):
     again = refresh(spark, wh, Inputs(as_of_year=YEAR, flat_files=inputs.flat_files))
     assert {r.status for r in again} == {"unchanged"}
     assert wh.read("marts.mart_coverage_gap").inputFiles() == before
+    refresh(spark, wh, inputs)
+    assert wh.read("marts.mart_coverage_gap").inputFiles() == before
+    latest = wh.log("meta.ingest_manifest").orderBy(F.desc("loaded_at")).limit(2).collect()
+    assert {(r.source, r.status) for r in latest} == {("reference", "unchanged"), ("catalog", "unchanged")}
 
 
 def test_ad_hoc_sql(spark, built):
@@ -210,6 +214,15 @@ def test_parameters_are_part_of_the_build(spark, built):
     assert ages() == now
 
 
+def test_lines_count_with_their_place(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("h\n1\n2\n")
+    (tmp_path / "b.csv").write_text("h\n2\n1\n")
+    state = lambda *args: plan.delivery_state(spark, *args)
+    a, b = [str(tmp_path / "a.csv")], [str(tmp_path / "b.csv")]
+    assert state(a, 1) == state(a, 1) and state(a, 1)[0] == 3
+    assert len({state(a, 1)[1], state(a, 2)[1], state(b, 1)[1]}) == 3
+
+
 def test_half_a_pair_is_refused(spark, built):
     _, wh, inputs = built
     with pytest.raises(ValueError, match="parts_feed"):

@@ -164,3 +164,36 @@ def test_manifest_latest(spark, tmp_path):
     wh.record_loads([("b3", "s", "u", None, None, "h2", 0, 0, 1, "unchanged", at[2])])
     assert [r.sha256 for r in wh.latest_loads().collect()] == ["h2"]
     assert repeated_keys(wh.log("meta.ingest_manifest"), ["source"]).first().occurrences == 3
+
+
+def test_rows_go_in_by_name(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.replace("a.t", spark.createDataFrame([], "k int, v string"))
+    wh.insert_by_name("a.t", spark.createDataFrame([("x", 1)], "v string, k long"))
+    wh.insert_by_name("a.t", spark.createDataFrame([(2,)], "k int"))
+    assert sorted(tuple(r) for r in wh.read("a.t").collect()) == [(1, "x"), (2, None)]
+    assert wh.read("a.t").dtypes == [("k", "int"), ("v", "string")]
+    with pytest.raises(ValueError, match="no column w"):
+        wh.insert_by_name("a.t", spark.createDataFrame([(1, 2)], "k int, w int"))
+
+
+def test_kinds_of_models(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    first, second = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), spark.createDataFrame([(2, "c")], "k int, v string")
+    wh.materialize("a.seen", first, "view")
+    assert spark.table("seen").count() == 2 and not wh.exists("a.seen")
+    for rows in (first, second):
+        wh.materialize("a.whole", rows, "table")
+        wh.materialize("a.keyed", rows, "incremental", ["k"])
+    assert [tuple(r) for r in wh.read("a.whole").collect()] == [(2, "c")]
+    assert sorted(tuple(r) for r in wh.read("a.keyed").collect()) == [(1, "a"), (2, "c")]
+    for mode in ("incremental", "other"):
+        with pytest.raises(ValueError):
+            wh.materialize("a.x", first, mode)
+
+
+def test_exported_cells_keep_blanks_and_breaks(spark, tmp_path):
+    rows = spark.createDataFrame([("1", " a ", 'b "c",\nd'), ("2", "", None)], "k string, v string, w string")
+    feeds.write_csv(rows.orderBy("k"), str(tmp_path / "out"))
+    back = feeds.read_feed(spark, str(tmp_path / "out"), ["k", "v", "w"]).select("k", "v", "w")
+    assert sorted(tuple(r) for r in back.collect()) == [("1", " a ", 'b "c",\nd'), ("2", "", "")]

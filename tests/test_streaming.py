@@ -26,3 +26,6 @@ def test_stream_landing(spark, tmp_path):
     files = wh.read("bronze.t").inputFiles()
     run()
     assert wh.read("bronze.t").inputFiles() == files and "secret" not in wh.read("bronze.t").columns
+    (folder / "3.txt").write_text("2\tb9\tx\n1\tz\tx\n")
+    run()
+    assert sorted((r.id, r.v) for r in wh.read("bronze.t").collect()) == [("1", "z"), ("2", "c"), ("3", "d")]
