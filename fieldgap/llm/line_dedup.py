@@ -2,7 +2,7 @@
 
 A line is what stands between line feeds. A rolling hash over the hashes of `WINDOW` lines ends a
 chunk where it is divisible by `DIVISOR`, so inserted or deleted lines move no boundary beyond their
-neighbours. A line of at least `LONG_WORDS` words (one more than its spaces) is as much as a chunk and stands alone, so that a
+neighbours. A line of at least `LONG_WORDS` words (runs without white space) is as much as a chunk and stands alone, so that a
 repeated passage is met whatever stands around it. Chunks of several lines with words, and long
 lines, are grouped over the whole table by two hashes and then by their bytes; of equal chunks the
 one in the document with the smallest id stays, there the first, and all others are removed.
@@ -39,9 +39,10 @@ def line_hash(line: Column) -> Column:
 
 
 def size_mark(line: Column, long_words: int) -> Column:
-    """Words are counted by spaces."""
-    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
-    return F.when(spaces >= long_words - 1, LONG).when(F.trim(line, F.lit(SPACE)) != "", WORDS).otherwise(BLANK)
+    """Words are runs without white space; the pattern stops at the last word asked for and never goes back."""
+    enough = f"^[{SPACE}]*+(?:[^{SPACE}]++[{SPACE}]++){{{long_words - 1}}}[^{SPACE}]"
+    long_line = (F.octet_length(line) >= 2 * long_words - 1) & line.rlike(enough)
+    return F.when(long_line, LONG).when(F.trim(line, F.lit(SPACE)) != "", WORDS).otherwise(BLANK)
 
 
 def with_chunks(df: DataFrame, body: Column, long_words: int = LONG_WORDS) -> DataFrame:

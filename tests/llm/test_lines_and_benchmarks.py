@@ -78,6 +78,15 @@ def test_odd_rows(docs_of):
     assert line_dedup.dedup_lines(docs.where(F.lit(False))).count() == 0
 
 
+def test_words_are_runs_without_white_space(docs_of):
+    tabs, mixed = words(50).replace(" ", "\t"), words(50, 100).replace(" ", " \x0b\r\t\f ")
+    brace, row, blank, short = " " * 60 + "}", "a" + " " * 50 + "b", " " * 80, words(49, 200) + " " * 9
+    docs = docs_of([(1, "\n".join([tabs, brace, mixed, row, short])), (2, tabs), (3, mixed), (4, brace), (5, row), (6, blank), (7, blank), (8, short)])
+    assert texts(line_dedup.dedup_lines(docs)) == [
+        (1, "\n".join([tabs, brace, mixed, row, short]), 0), (2, "", 1), (3, "", 1), (4, brace, 0), (5, row, 0), (6, blank, 0), (7, blank, 0), (8, short, 0)
+    ]
+
+
 def slow_hits(text, items, size=13):
     own = decontamination.words_of(text)
     hit, found = set(), set()
