@@ -30,15 +30,21 @@ LAST = "\U0010ffff"
 RULE, URL = 0, 1
 
 
+def after_scheme(url: Column) -> Column:
+    """What follows the first `://`, whatever a query or fragment holds; null without one."""
+    at = F.locate("://", url)
+    return F.when(at > 0, F.substring(url, at + 3, F.length(url)))
+
+
 def host_of(url: Column) -> Column:
     """After the first `://` up to `/`, `?`, `#` or the end; A-Z lowered."""
-    host = F.regexp_extract(url, "(?s)^.*?://([^/?#]*)", 1)
+    host = F.regexp_extract(after_scheme(url), "^[^/?#]*", 0)
     upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
     return F.coalesce(F.translate(host, upper, upper.lower()), F.lit(""))
 
 
 def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, "(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    return F.coalesce(F.regexp_extract(after_scheme(url), "^[^/?#]*(/[^?#]*)", 1), F.lit(""))
 
 
 def reversed_labels(host: Column) -> Column:

@@ -154,6 +154,15 @@ def test_rules_against_brute_force(spark, ranges):
     assert url_rules.judge_urls(pages.where(F.lit(False)), url_rules.rule_table(spark, rules)).count() == 0
 
 
+def test_urls_in_queries_and_fragments_against_brute_force(spark):
+    rules = [("allow", "org", "/"), ("block", "example.org", "/en/1"), ("block", "com", "/")]
+    tails = ["?u=http://x.com/en/1", "#http://x.com/en/1", "?a=b#c://d/en/1", "?u=http://x.com", "/?u=http://x.com/en/1", "/en/1?u=http://x.com/q", "/q/http://x.com/en/1", "://x.com/en/1", "?u=\nhttp://x.com/en/1"]
+    urls = [f"{scheme}{host}{tail}" for scheme in ("http://", "://", "x\ny://") for host in ("example.org", "a.Example.org", "é.com", "") for tail in tails]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = url_rules.judge_urls(pages, url_rules.rule_table(spark, rules)).collect()
+    assert {r["row"]["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in found} == {i: slow_rule(u, rules) for i, u in enumerate(urls)}
+
+
 def test_top_k_against_brute_force(spark):
     draw = random.Random(2)
     rows = [(i, [float(draw.choice([0, 1, -1, 0.5]) * draw.random() * (1 + i % 5)) for _ in range(6)]) for i in range(400)]
