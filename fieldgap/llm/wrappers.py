@@ -16,15 +16,15 @@ Pages of a host are dealt to groups of about `GROUP` by a hash, each with a wrap
 with a third of all pages is many tasks and a task holds one group. All pages are read whole.
 
 Defined cases: null or empty html gives empty text; a page that is alone on its host is its own
-wrapper; broken markup ends open elements where their parent ends; hosts are compared lower-cased; an
-empty table gives none.
+wrapper; broken markup ends open elements where their parent ends; nesting may be of any depth, since all
+walks keep stacks of their own; hosts are compared lower-cased; an empty table gives none.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 
@@ -100,6 +100,8 @@ def parse(page: str) -> Node:
     """The page's tree; ends that markup leaves out are put where their parent ends."""
     root = Node("")
     stack, at, size = [root], 0, len(page)
+    # For each open element the innermost one, from it outwards, that is not inline.
+    blocks = [""]
 
     def put_text(raw: str) -> None:
         if raw:
@@ -119,14 +121,15 @@ def parse(page: str) -> Node:
         if closing:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
-                    del stack[depth:]
+                    del stack[depth:], blocks[depth:]
                     break
                 if stack[depth].tag in SCOPE and tag not in SCOPE:
                     break
             continue
-        while len(stack) > 1 and tag in CLOSED_BY.get(block_above(stack), ()):
+        while len(stack) > 1 and tag in CLOSED_BY.get(blocks[-1], ()):
             while stack.pop().tag in INLINE:
                 pass
+            del blocks[len(stack) :]
         node = Node(tag, *attributes(rest))
         stack[-1].children.append(node)
         if tag in RAW and not rest.rstrip().endswith("/"):
@@ -136,17 +139,10 @@ def parse(page: str) -> Node:
             at = end.end() if end else size
         elif tag not in VOID:
             stack.append(node)
+            blocks.append(blocks[-1] if tag in INLINE else tag)
     return root
 
 
-def block_above(stack: list[Node]) -> str:
-    """The innermost open element that is not inline."""
-    for node in reversed(stack):
-        if node.tag not in INLINE:
-            return node.tag
-    return ""
-
-
 def attributes(raw: str) -> tuple[tuple[str, ...], str]:
     names, role = [], ""
     for key, a, b, c in ATTRIBUTE.findall(raw) if raw else ():
@@ -194,7 +190,20 @@ class Part:
     constant: str | None = None
 
 
-def fold(parts: list[Part]) -> list[Part]:
+def done(walk: Generator) -> object:
+    """The result of a walk that yields the walks it waits for: a stack on the heap, so depth has no bound."""
+    stack, result = [walk], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(result))
+            result = None
+        except StopIteration as end:
+            stack.pop()
+            result = end.value
+    return result
+
+
+def folding(parts: list[Part]) -> Generator:
     """Make equal neighbours, and equal neighbouring groups of up to three, one repeated group."""
     for width in (1, 2, 3):
         out: list[Part] = []
@@ -204,7 +213,7 @@ def fold(parts: list[Part]) -> list[Part]:
                 last = out[-width:]
                 del out[-width:]
                 for kept, again in zip(out[-width:], last, strict=True):
-                    merged = align(kept, again)
+                    merged = yield aligning(kept, again)
                     kept.children, kept.text, kept.linked = merged.children, merged.text, merged.linked
                     kept.constant, kept.repeated = merged.constant, True
         parts = out
@@ -213,38 +222,54 @@ def fold(parts: list[Part]) -> list[Part]:
 
 def wrapper_of(node: Node, in_link: bool = False) -> Part:
     """The wrapper of one page."""
+    return done(wrapping(node, in_link))
+
+
+def wrapping(node: Node, in_link: bool) -> Generator:
     if not node.tag and node.text:
         n = len(node.text.split())
         return Part(("#text", (), ""), text=0 if in_link else n, linked=n if in_link else 0, constant=node.text)
-    children = [wrapper_of(c, in_link or c.tag == "a") for c in node.children if c.tag or c.text.strip()]
-    return Part(node.sign, fold(children))
+    children = []
+    for c in node.children:
+        if c.tag or c.text.strip():
+            children.append((yield wrapping(c, in_link or c.tag == "a")))
+    return Part(node.sign, (yield folding(children)) if len(children) > 1 else children)
 
 
 def align(a: Part, b: Part) -> Part:
     """The wrapper of two: equal signs meet, what only one has is optional, differing texts are slots."""
+    return done(aligning(a, b))
+
+
+def aligning(a: Part, b: Part) -> Generator:
     joined = Part(a.sign, [], a.pages + b.pages, a.repeated or b.repeated, a.text + b.text, a.linked + b.linked)
     joined.constant = a.constant if a.constant == b.constant else None
     left, right = [c.sign for c in a.children], [c.sign for c in b.children]
     if left == right:
-        joined.children = [align(x, y) for x, y in zip(a.children, b.children, strict=True)]
+        for x, y in zip(a.children, b.children, strict=True):
+            joined.children.append((yield aligning(x, y)))
         return joined
     i = j = 0
     merged: list[Part] = []
     for x, y, n in SequenceMatcher(None, left, right, autojunk=False).get_matching_blocks():
         merged += a.children[i:x] + b.children[j:y]
-        merged += [align(p, q) for p, q in zip(a.children[x : x + n], b.children[y : y + n], strict=True)]
+        for p, q in zip(a.children[x : x + n], b.children[y : y + n], strict=True):
+            merged.append((yield aligning(p, q)))
         i, j = x + n, y + n
-    joined.children = fold(merged)
+    joined.children = yield folding(merged)
     return joined
 
 
-def inner_text(part: Part) -> tuple[int, int]:
-    """Words outside and inside links."""
-    text, linked = part.text, part.linked
-    for c in part.children:
-        t, k = inner_text(c)
-        text, linked = text + t, linked + k
-    return text, linked
+def inner_texts(wrapper: Part) -> dict[int, tuple[int, int]]:
+    """Words outside and inside links of every part, by the part's identity."""
+    order = [wrapper]
+    for part in order:
+        order.extend(part.children)
+    found: dict[int, tuple[int, int]] = {}
+    for part in reversed(order):
+        below = [found[id(c)] for c in part.children]
+        found[id(part)] = (part.text + sum(t for t, _ in below), part.linked + sum(k for _, k in below))
+    return found
 
 
 def as_node(sign: tuple) -> Node:
@@ -253,35 +278,41 @@ def as_node(sign: tuple) -> Node:
 
 def article_path(wrapper: Part) -> list[tuple]:
     """Signs from the root to the part that is the article; empty for the whole page."""
-    marked: list[tuple[int, list[tuple]]] = []
-
-    def look(part: Part, path: list[tuple]) -> None:
-        for c in part.children:
-            if c.sign[0] == "#text" or dropped(as_node(c.sign), False):
-                continue
-            here = [*path, c.sign]
-            rank = 3 if c.sign[0] == "article" else 2 if c.sign[0] == "main" or c.sign[2] in ("main", "article") else 0
-            rank = rank or (1 if c.sign[0] in ("div", "section") and ARTICLE_NAMES & set(c.sign[1]) else 0)
-            if rank:
-                marked.append((rank * 10**9 + inner_text(c)[0], here))
-            look(c, here)
-
-    look(wrapper, [])
+    words = inner_texts(wrapper)
+    # Paths are (depth, sign, path above), so that deep ones share what they have in common.
+    best_mark, marked = (0, 0), None
+    stack = [(c, None) for c in reversed(wrapper.children)]
+    while stack:
+        part, above = stack.pop()
+        if part.sign[0] == "#text" or dropped(as_node(part.sign), False):
+            continue
+        depth = above[0] + 1 if above else 1
+        here = (depth, part.sign, above)
+        rank = 3 if part.sign[0] == "article" else 2 if part.sign[0] == "main" or part.sign[2] in ("main", "article") else 0
+        rank = rank or (1 if part.sign[0] in ("div", "section") and ARTICLE_NAMES & set(part.sign[1]) else 0)
+        if rank and (marked is None or (rank * 10**9 + words[id(part)][0], -depth) > best_mark):
+            best_mark, marked = (rank * 10**9 + words[id(part)][0], -depth), here
+        stack += [(c, here) for c in reversed(part.children)]
     if marked:
-        return max(marked, key=lambda m: (m[0], -len(m[1])))[1]
+        signs = []
+        while marked:
+            signs.append(marked[1])
+            marked = marked[2]
+        return signs[::-1]
     path, here = [], wrapper
     while True:
         rated = []
         for c in here.children:
             if c.sign[0] != "#text" and not dropped(as_node(c.sign), False):
-                text, linked = inner_text(c)
+                text, linked = words[id(c)]
                 rated.append((text - linked, c))
         best = max(rated, key=lambda r: r[0], default=(0, None))
-        own = sum(inner_text(c)[0] for c in here.children)
+        own = sum(words[id(c)][0] for c in here.children)
         # Go down while one block holds nearly all text; several blocks of text are the article's own.
         if best[1] is None or best[1].sign[0] not in ("html", "body", "div", "section", "table", "tbody", "tr", "td", "center") or best[0] < 0.7 * own:
             return path
-        path, here = [*path, best[1].sign], best[1]
+        path.append(best[1].sign)
+        here = best[1]
 
 
 def regions(root: Node, path: list[tuple]) -> list[Node]:
@@ -302,24 +333,24 @@ def block_texts(region: Node) -> list[str]:
     """Texts of blocks in page order: references decoded, white space made one, nothing else changed."""
     blocks: list[list[str]] = [[]]
 
-    def walk(node: Node) -> None:
-        for c in node.children:
-            if not c.tag:
-                blocks[-1].append(c.text)
-            elif c.tag in VOID:
-                if c.tag in ("br", "wbr", "img"):
-                    blocks[-1].append(" " if c.tag == "br" else "")
-                else:
-                    blocks.append([])
-            elif not dropped(c, True):
-                if c.tag in INLINE:
-                    walk(c)
-                else:
-                    blocks.append([])
-                    walk(c)
-                    blocks.append([])
-
-    walk(region)
+    # Open elements: what is left of their children, and whether their end ends a block.
+    stack = [(iter(region.children), False)]
+    while stack:
+        c = next(stack[-1][0], None)
+        if c is None:
+            if stack.pop()[1]:
+                blocks.append([])
+        elif not c.tag:
+            blocks[-1].append(c.text)
+        elif c.tag in VOID:
+            if c.tag in ("br", "wbr", "img"):
+                blocks[-1].append(" " if c.tag == "br" else "")
+            else:
+                blocks.append([])
+        elif not dropped(c, True):
+            if c.tag not in INLINE:
+                blocks.append([])
+            stack.append((iter(c.children), c.tag not in INLINE))
     texts = (" ".join(entities.unescape("".join(b)).split()) for b in blocks)
     return [t for t in texts if t]
 

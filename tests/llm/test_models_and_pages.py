@@ -121,6 +121,18 @@ def test_extraction_of_odd_pages(spark, tables):
     assert got[6]["n_chars"] == 100_000 * 5 - 1
 
 
+@pytest.mark.parametrize("tag", ["div", "span", "section", "ul><li", "article"])
+def test_deeply_nested_pages(tag):
+    n = 20_000
+    ends = "".join(f"</{t}>" for t in reversed(tag.split("><")))
+    deep = ["<body>" + f"<{tag}>" * n + f"deep {k}" for k in range(2)] + [f"<{tag}>" * n + "closed" + ends * n + "<p>after"]
+    assert wrappers.main_texts([deep[0]]) == ["deep 0"]
+    plain = page("<article><h1>Title</h1><p>Text of it</article>")
+    texts = wrappers.main_texts([plain, *deep, plain])
+    assert texts[0] == texts[-1] == "Title\nText of it"
+    assert texts[1:3] == ["deep 0", "deep 1"] and texts[3].startswith("closed")
+
+
 def test_hot_host_is_split(spark):
     pages = spark.range(300).select(F.col("id").alias("page_id"), F.lit("http://one.org/").alias("url"), F.concat(F.lit("<article><p>t"), F.col("id"), F.lit("</p></article>")).alias("html"))
     found = wrappers.main_text(pages, group=16).collect()
