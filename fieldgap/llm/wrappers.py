@@ -10,7 +10,10 @@ The wrapper says which subtrees every page has, which are optional or repeated a
 link text their slots hold over all pages. Subtrees whose tags, roles or class names stand for menus,
 headers, footers, notices, adverts, forms or comments are left out. The article is the subtree marked as such, or,
 where pages mark none, the subtree whose slots hold the most text outside links. Pages are then
-matched with the wrapper and the text of the article's blocks is read.
+matched with the wrapper and the text of the article's blocks is read. Elements inside the article that
+the wrapper met with one and the same content on at least `TELLING` different pages are the template's and
+are left out, whatever their names, unless they hold most of the host's text. Numbers in ids, page numbers
+in classes and all names of html and body are no part of a sign, since they differ from page to page.
 
 Pages of a host are dealt to groups of about `GROUP` by a hash, each with a wrapper of its own, so a host
 with a third of all pages is many tasks and a task holds one group. All pages are read whole.
@@ -37,6 +40,8 @@ from fieldgap.llm.url_rules import host_of
 
 #: Pages that one wrapper is inferred from.
 GROUP = 64
+#: Different pages on which an element has the same content before it counts as the template's.
+TELLING = 8
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -90,6 +95,8 @@ class Node:
     role: str = ""
     children: list[Node] = field(default_factory=list)
     text: str = ""
+    #: Stands for all that is inside; set where the page's wrapper is made.
+    whole: int = 0
 
     @property
     def sign(self) -> tuple:
@@ -130,7 +137,7 @@ def parse(page: str) -> Node:
             while stack.pop().tag in INLINE:
                 pass
             del blocks[len(stack) :]
-        node = Node(tag, *attributes(rest))
+        node = Node(tag, *attributes(tag, rest))
         stack[-1].children.append(node)
         if tag in RAW and not rest.rstrip().endswith("/"):
             end = re.compile(f"</{tag}(?=[\\s>/])[^>]*>?", re.IGNORECASE).search(page, at)
@@ -143,7 +150,8 @@ def parse(page: str) -> Node:
     return root
 
 
-def attributes(raw: str) -> tuple[tuple[str, ...], str]:
+def attributes(tag: str, raw: str) -> tuple[tuple[str, ...], str]:
+    """Names from class and id, without what numbers a page, and the role."""
     names, role = [], ""
     for key, a, b, c in ATTRIBUTE.findall(raw) if raw else ():
         value, key = (a or b or c).lower(), key.lower()
@@ -152,8 +160,10 @@ def attributes(raw: str) -> tuple[tuple[str, ...], str]:
         elif key in ("hidden", "aria-hidden"):
             if value != "false" and (key == "hidden" or value == "true"):
                 names.append("hidden")
-        else:
-            names += NAME.findall(value)
+        elif tag not in ("html", "body"):
+            # Short numbers in classes tell columns of a layout apart.
+            least = 1 if key == "id" or tag in ("article", "main") else 3
+            names += [n for n in NAME.findall(value) if not (n.isdigit() and len(n) >= least)]
     return tuple(names), role
 
 
@@ -178,7 +188,7 @@ class Part:
 
     `pages` counts pages that have it; it is optional where its parent has more. `times` is 1, or more
     where it repeats. `text` and `linked` are the characters its slots held, in links or not, `constant`
-    the one text all pages had.
+    the one text all pages had; `whole` stands for the one content of an element that all pages had.
     """
 
     sign: tuple
@@ -188,6 +198,7 @@ class Part:
     text: int = 0
     linked: int = 0
     constant: str | None = None
+    whole: int | None = None
 
 
 def done(walk: Generator) -> object:
@@ -213,9 +224,9 @@ def folding(parts: list[Part]) -> Generator:
                 last = out[-width:]
                 del out[-width:]
                 for kept, again in zip(out[-width:], last, strict=True):
-                    merged = yield aligning(kept, again)
+                    merged = yield aligning(kept, again, same_page=True)
                     kept.children, kept.text, kept.linked = merged.children, merged.text, merged.linked
-                    kept.constant, kept.repeated = merged.constant, True
+                    kept.constant, kept.whole, kept.repeated = merged.constant, merged.whole, True
         parts = out
     return parts
 
@@ -227,13 +238,16 @@ def wrapper_of(node: Node, in_link: bool = False) -> Part:
 
 def wrapping(node: Node, in_link: bool) -> Generator:
     if not node.tag and node.text:
-        n = len(node.text.split())
-        return Part(("#text", (), ""), text=0 if in_link else n, linked=n if in_link else 0, constant=node.text)
-    children = []
+        words = node.text.split()
+        n, node.whole = len(words), hash(tuple(words))
+        return Part(("#text", (), ""), text=0 if in_link else n, linked=n if in_link else 0, constant=node.text, whole=node.whole)
+    children, inside = [], [node.sign]
     for c in node.children:
         if c.tag or c.text.strip():
             children.append((yield wrapping(c, in_link or c.tag == "a")))
-    return Part(node.sign, (yield folding(children)) if len(children) > 1 else children)
+            inside.append(c.whole)
+    node.whole = hash(tuple(inside))
+    return Part(node.sign, (yield folding(children)) if len(children) > 1 else children, whole=node.whole)
 
 
 def align(a: Part, b: Part) -> Part:
@@ -241,20 +255,22 @@ def align(a: Part, b: Part) -> Part:
     return done(aligning(a, b))
 
 
-def aligning(a: Part, b: Part) -> Generator:
-    joined = Part(a.sign, [], a.pages + b.pages, a.repeated or b.repeated, a.text + b.text, a.linked + b.linked)
+def aligning(a: Part, b: Part, same_page: bool = False) -> Generator:
+    pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
+    joined = Part(a.sign, [], pages, a.repeated or b.repeated, a.text + b.text, a.linked + b.linked)
     joined.constant = a.constant if a.constant == b.constant else None
+    joined.whole = a.whole if a.whole == b.whole else None
     left, right = [c.sign for c in a.children], [c.sign for c in b.children]
     if left == right:
         for x, y in zip(a.children, b.children, strict=True):
-            joined.children.append((yield aligning(x, y)))
+            joined.children.append((yield aligning(x, y, same_page)))
         return joined
     i = j = 0
     merged: list[Part] = []
     for x, y, n in SequenceMatcher(None, left, right, autojunk=False).get_matching_blocks():
         merged += a.children[i:x] + b.children[j:y]
         for p, q in zip(a.children[x : x + n], b.children[y : y + n], strict=True):
-            merged.append((yield aligning(p, q)))
+            merged.append((yield aligning(p, q, same_page)))
         i, j = x + n, y + n
     joined.children = yield folding(merged)
     return joined
@@ -329,12 +345,28 @@ def regions(root: Node, path: list[tuple]) -> list[Node]:
 # Text
 
 
-def block_texts(region: Node) -> list[str]:
-    """Texts of blocks in page order: references decoded, white space made one, nothing else changed."""
+def parts_at(wrapper: Part, path: list[tuple]) -> list[Part]:
+    """The wrapper's parts on a path."""
+    found = [wrapper]
+    for sign in path:
+        found = [c for p in found for c in p.children if c.sign == sign]
+    return found
+
+
+def of_template(part: Part) -> bool:
+    """Whether an element had one content on enough pages; inline ones belong to a sentence."""
+    return part.whole is not None and part.pages >= TELLING and part.sign[0] != "#text" and part.sign[0] not in INLINE
+
+
+def block_texts(region: Node, parts: list[Part]) -> list[str]:
+    """Texts of blocks in page order: references decoded, white space made one, nothing else changed.
+
+    Elements that `parts`, the wrapper's view of the region, know as the template's are left out.
+    """
     blocks: list[list[str]] = [[]]
 
-    # Open elements: what is left of their children, and whether their end ends a block.
-    stack = [(iter(region.children), False)]
+    # Open elements: what is left of their children, whether their end ends a block, and their parts.
+    stack = [(iter(region.children), False, parts)]
     while stack:
         c = next(stack[-1][0], None)
         if c is None:
@@ -348,34 +380,47 @@ def block_texts(region: Node) -> list[str]:
             else:
                 blocks.append([])
         elif not dropped(c, True):
+            below = [q for p in stack[-1][2] for q in p.children if q.sign == c.sign]
+            if any(q.whole == c.whole and of_template(q) for q in below):
+                blocks.append([])
+                continue
             if c.tag not in INLINE:
                 blocks.append([])
-            stack.append((iter(c.children), c.tag not in INLINE))
+            stack.append((iter(c.children), c.tag not in INLINE, below))
     texts = (" ".join(entities.unescape("".join(b)).split()) for b in blocks)
     return [t for t in texts if t]
 
 
 def main_texts(pages: list[str | None]) -> list[str]:
     """Main texts of pages of one host."""
-    trees = [parse(p) if p else None for p in pages]
+    # Equal pages are one: they tell nothing about the template.
+    parsed = {p: parse(p) for p in dict.fromkeys(pages) if p}
     wrapper: Part | None = None
-    for tree in trees:
-        if tree is not None:
-            own = wrapper_of(tree)
-            wrapper = own if wrapper is None else align(wrapper, own)
+    for tree in parsed.values():
+        own = wrapper_of(tree)
+        wrapper = own if wrapper is None else align(wrapper, own)
     if wrapper is None:
         return ["" for _ in pages]
     path = article_path(wrapper)
-    out = []
-    for tree in trees:
-        if tree is None:
-            out.append("")
-            continue
+    places = {}
+    for p, tree in parsed.items():
         found = regions(tree, path)
-        if not found:
-            found = regions(tree, article_path(wrapper_of(tree)))
-        out.append("\n".join(t for region in found for t in block_texts(region)))
-    return out
+        own_path = path if found else article_path(wrapper_of(tree))
+        places[p] = (found or regions(tree, own_path), parts_at(wrapper, own_path))
+
+    def read(cut: bool) -> dict[str, str]:
+        return {p: "\n".join(t for r in found for t in block_texts(r, parts if cut else [])) for p, (found, parts) in places.items()}
+
+    texts = read(True)
+    below = list(parts_at(wrapper, path))
+    for part in below:
+        below.extend(part.children)
+    if any(map(of_template, below)):
+        uncut = read(False)
+        # Where most of the text is the same everywhere, the pages are copies, not a template with contents.
+        if 2 * sum(len(t) for t in texts.values()) < sum(len(t) for t in uncut.values()):
+            texts = uncut
+    return [texts[p] if p else "" for p in pages]
 
 
 def main_text(

@@ -121,6 +121,33 @@ def test_extraction_of_odd_pages(spark, tables):
     assert got[6]["n_chars"] == 100_000 * 5 - 1
 
 
+def test_constant_parts_of_the_article_are_the_template():
+    draw = random.Random(4)
+    words = lambda i: " ".join(f"w{draw.randint(0, 999)}" for _ in range(40)) + f" end{i}"
+    bodies = [(words(i), words(i)) for i in range(12)]
+    box = "<div class='zq'><p>Support our work</p><ul><li>by card<li>by post</ul></div>"
+    own = [f"<article><h1>Title {i}</h1><p>{a}</p>{box if i % 4 else ''}<p>{b}</p><div class='zr'>note {i}</div></article>" for i, (a, b) in enumerate(bodies)]
+    assert wrappers.main_texts([page(x) for x in own]) == [f"Title {i}\n{a}\n{b}\nnote {i}" for i, (a, b) in enumerate(bodies)]
+    few = wrappers.main_texts([page(x) for x in own[:6]])
+    assert "Support our work" in few[1], "too few pages to tell"
+    copies = [page("<article><p>one text that all pages have and nothing else</p></article>", f"<p>{i}</p>") for i in range(12)]
+    assert set(wrappers.main_texts(copies)) == {"one text that all pages have and nothing else"}
+
+
+def test_page_numbers_in_ids_and_classes_do_not_part_pages():
+    def numbered(i):
+        text = " ".join(f"w{i}x{k}" for k in range(60))
+        return f"<body class='page page-id-{i}' id='p{i}'><div id='top-{i}'>see all</div><article id='post-{i}' class='post-{i} post'><p>{text}</p><div class='zq'>constant box</div></article></body>"
+
+    own = [numbered(i) for i in range(10, 22)]
+    wrapper = None
+    for x in own:
+        one = wrappers.wrapper_of(wrappers.parse(x))
+        wrapper = one if wrapper is None else wrappers.align(wrapper, one)
+    assert [c.pages for c in wrapper.children] == [12] and [c.pages for c in wrapper.children[0].children] == [12, 12]
+    assert wrappers.main_texts(own) == [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(10, 22)]
+
+
 @pytest.mark.parametrize("tag", ["div", "span", "section", "ul><li", "article"])
 def test_deeply_nested_pages(tag):
     n = 20_000
