@@ -14,7 +14,8 @@ vectors, each in a task of its own; a query is only sent to buckets that may hol
 back with k rows of each. All of a bucket's vectors are compared, so results are exact.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part, as query or
-candidate; in vectors of different sizes missing components count as zero; ties go to the smaller id;
+candidate; scaled components and scores are longs, and where one is not between -2 ** 63 and 2 ** 63 the
+query fails; products are taken in doubles below 2 ** 53 and in whole numbers above; in vectors of different sizes missing components count as zero; ties go to the smaller id;
 fewer candidates than k give all of them; rows of one id are each other's own and never meet.
 """
 
@@ -45,18 +46,32 @@ ROWS_AT_ONCE = 256
 def whole_numbers(column: str, scale: int) -> Column:
     """floor(scale * x) of every component, null where the vector can't take part."""
     x = F.transform(column, lambda v: v.cast("double"))
-    fit = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(2.0**40)))
-    return F.when(F.col(column).isNotNull() & fit, F.transform(x, lambda v: F.floor(v * scale).cast("long")))
+    fit = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(math.inf)))
+    too_long = F.exists(x, lambda v: F.abs(v * scale) >= F.lit(2.0**63))
+    return F.when(
+        F.col(column).isNotNull() & fit,
+        F.when(too_long, F.raise_error("a scaled component is beyond the range of long")).otherwise(
+            F.transform(x, lambda v: F.floor(v * scale).cast("long"))
+        ),
+    )
 
 
 def matrix(column: pd.Series, width: int) -> np.ndarray:
-    """Rows of whole numbers; double holds their products exactly while sums stay below 2 ** 53."""
-    out = np.zeros((len(column), width))
+    """Rows of whole numbers."""
+    out = np.zeros((len(column), width), np.int64)
     for i, v in enumerate(column):
         out[i, : len(v)] = v
     return out
 
 
+def exact_products(queries: np.ndarray, vectors: np.ndarray, bound: float) -> np.ndarray:
+    """Inner products of whole numbers, none of which is above the bound."""
+    if bound < 2.0**63:
+        return queries @ vectors.T
+    # Some may be too long.
+    return queries.astype(object) @ vectors.astype(object).T
+
+
 def best_of(
     queries: np.ndarray, ids: np.ndarray, theta: np.ndarray, length: np.ndarray, vectors: np.ndarray,
     vector_ids: np.ndarray, vector_length: np.ndarray, k: int,
@@ -64,6 +79,8 @@ def best_of(
     """(query row, vector row, score) of the k best of each query that reach its theta."""
     rows, found, scores = [], [], []
     longest = vector_length[0] if len(vector_length) else 0.0
+    doubles = vectors.astype(np.float64)
+    theta = np.nextafter(theta, -math.inf)  # of a score that a double may have rounded up
     with np.errstate(divide="ignore", invalid="ignore"):
         local = np.where(length * longest > 0, theta / (length * longest), np.where(theta > 0, np.inf, 0.0))
     for start in range(0, len(queries), ROWS_AT_ONCE):
@@ -73,31 +90,40 @@ def best_of(
             chosen = some[(local[some] >= STEEP) == steep]
             if not len(chosen):
                 continue
-            q = queries[chosen]
+            # No sum of products is above the product of the lengths.
+            most = length[chosen].max() * longest * (1 + 1e-9)
+            q = queries[chosen].astype(np.float64)
             if steep:  # by coordinates, for the block's own largest ones
                 focus = np.argsort(-np.abs(q).sum(0), kind="stable")[:FOCUS]
                 rest = np.setdiff1d(np.arange(q.shape[1]), focus)
-                bound = q[:, focus] @ vectors[:, focus].T
-                bound += np.linalg.norm(q[:, rest], axis=1)[:, None] * np.linalg.norm(vectors[:, rest], axis=1)
-                passes = (bound >= theta[chosen][:, None] - 1e-6 - 1e-9 * np.abs(bound)).any(0)
+                bound = q[:, focus] @ doubles[:, focus].T
+                bound += np.linalg.norm(q[:, rest], axis=1)[:, None] * np.linalg.norm(doubles[:, rest], axis=1)
+                passes = (bound >= theta[chosen][:, None] - 1e-6 - 1e-9 * max(most, 1.0)).any(0)
             else:  # by length: vectors are sorted by it
                 least = (theta[chosen] / np.maximum(length[chosen], 1e-300)).min()
                 passes = vector_length >= least * (1 - 1e-9) - 1e-9
             where = np.flatnonzero(passes)
             if not len(where):
                 continue
-            product = q @ vectors[where].T
-            product[ids[chosen][:, None] == vector_ids[where][None, :]] = -np.inf
-            for r, row in zip(chosen, product, strict=True):
-                keep = np.flatnonzero((row >= theta[r]) & (row > -np.inf))
+            if most < 2.0**53:
+                product = (q @ doubles[where].T).astype(np.int64)
+            else:
+                product = exact_products(queries[chosen], vectors[where], most)
+            other = ids[chosen][:, None] != vector_ids[where][None, :]
+            for r, row, may in zip(chosen, product, other, strict=True):
+                keep = np.flatnonzero((row >= theta[r]) & may)
                 if len(keep) > k:
-                    limit = -np.partition(-row[keep], k - 1)[k - 1]
-                    keep = keep[row[keep] >= limit]
-                    order = np.lexsort((vector_ids[where[keep]], -row[keep]))[:k]
-                    keep = keep[order]
+                    if row.dtype == object:
+                        keep = np.array(sorted(keep, key=lambda i: (-row[i], vector_ids[where[i]]))[:k])  # noqa: B023
+                    else:
+                        limit = -np.partition(-row[keep], k - 1)[k - 1]
+                        keep = keep[row[keep] >= limit]
+                        order = np.lexsort((vector_ids[where[keep]], -row[keep]))[:k]
+                        keep = keep[order]
                 rows.append(np.full(len(keep), r))
                 found.append(where[keep])
-                scores.append(row[keep])
+                # Fails where a score is no long.
+                scores.append(row[keep].astype(np.int64))
     if not rows:
         return (np.zeros(0, np.int64),) * 3
     return np.concatenate(rows), np.concatenate(found), np.concatenate(scores)

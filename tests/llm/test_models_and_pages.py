@@ -219,6 +219,32 @@ def test_top_k_against_brute_force(spark):
     assert topk.exact_top_k(frame.where(F.lit(False)), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("power", [22, 26, 42])
+def test_top_k_of_large_vectors(spark, power):
+    draw = random.Random(power)
+    most = {22: 2**22, 26: 2**26 // 20, 42: 2**42}[power]
+    # Odd whole numbers far above what doubles hold after multiplication; a sparse set with components of 2 ** 42 against small ones.
+    if power == 42:
+        rows = [(i, [float(most + 64 * i), 0.0, 0.0] if i % 20 == 1 else [draw.randint(-900, 900) / 64, draw.random(), 1.0]) for i in range(200)]
+    else:
+        rows = [(i, [(most * 64 - draw.randint(0, 40)) / 64 for _ in range(5)]) for i in range(200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.exact_top_k(frame, F.col("vec_id") % 20 == 0, k=7, bucket=64, query_block=4, seed=16)
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows}
+    expected = []
+    for q in range(0, 200, 20):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], w, strict=True)), c) for c, w in whole.items() if c != q)[:7]
+        expected += [(q, n + 1, c, -s) for n, (s, c) in enumerate(best)]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
+
+
+def test_scores_beyond_long_fail(spark):
+    for x in (2.0**40, 2.0**60):
+        frame = spark.createDataFrame([(20, [x]), (21, [x])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="(?i)long|int"):
+            topk.exact_top_k(frame, F.col("vec_id") % 20 == 0).collect()
+
+
 def planted(n=240):
     draw = random.Random(11)
     vocabulary = [f"v{i}" for i in range(3000)]
