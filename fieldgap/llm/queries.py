@@ -14,6 +14,7 @@ from fieldgap.llm import (
     line_dedup,
     oracle,
     packing,
+    pieces,
     quality,
     simhash,
     topk,
@@ -120,6 +121,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.piece_digests(pieces)
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encoded(table(spark, sf_dir, "documents"), tokenizer_path(pieces.MODEL))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "agrees",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -131,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
+    "op13_sentencepiece": op13_sentencepiece,
     "pipeline": corpus_pipeline.run,
 }
 
