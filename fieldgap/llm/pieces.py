@@ -88,7 +88,7 @@ def merged(part: str, rank: dict[str, float]) -> list[str]:
     """
     symbol, end, get = list(part), len(part) - 1, rank.get
     agenda = list(map(get, map(add, part, part[1:]), repeat(NEVER)))
-    while end:
+    while end > 0:
         best = min(agenda)
         if best is NEVER:
             break
