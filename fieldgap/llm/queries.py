@@ -16,6 +16,7 @@ from fieldgap.llm import (
     packing,
     pieces,
     quality,
+    runs,
     simhash,
     topk,
     toxicity,
@@ -121,6 +122,53 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.piece_digests(pieces)
 
 
+BLANKS = " \t\n\x0b\f\r"
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Texts of a tenth of the ids go on from some word with a period of their own; the others stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("long")
+    stripped = F.trim("text", F.lit(BLANKS))
+
+    def planted(w: Column) -> Column:
+        n = F.size(w).cast("long")
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8)))).cast("long")
+        # Ten periods at most, so the last of them covers what is left of the text.
+        again = F.flatten(F.array_repeat(F.slice(w, a.cast("int") + 1, p.cast("int")), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(w, 1, a.cast("int")), F.slice(again, 1, (n - a).cast("int"))), " ")
+
+    words = F.split(stripped, f"[{BLANKS}]+")
+    changed = F.element_at(F.transform(F.array(words), planted), 1)
+    return docs.select("doc_id", F.when((h % 10 == 0) & (stripped != ""), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+
+    def order(x: Column, y: Column) -> Column:
+        """Greatest length by period first, then the smallest start and period."""
+        one, two = x["length"] * y["period"], y["length"] * x["period"]
+        later = (one < two) | ((one == two) & ((x["start"] > y["start"]) | ((x["start"] == y["start"]) & (x["period"] > y["period"]))))
+        return F.when(later, 1).otherwise(-1)
+
+    def line(r: Column) -> Column:
+        return F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+
+    best = F.get(F.array_sort("runs", order), F.lit(0))
+    return found.select("*", best.alias("best")).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pieces.encoded(table(spark, sf_dir, "documents"), tokenizer_path(pieces.MODEL))
     return found.select(
@@ -143,6 +191,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_sentencepiece": op13_sentencepiece,
     "pipeline": corpus_pipeline.run,
 }
