@@ -100,7 +100,7 @@ def expected_row(doc_id, text):
 def test_query_on_a_small_table(spark, docs_of, tables):
     rng = np.random.default_rng(4)
     rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 3 + i % 9, rng.integers(0, 200)))) for i in range(400)]
-    rows += [(200, None), (201, "  "), (202, "x\t" * 33)]
+    rows += [(500, None), (501, "  "), (502, "x\t" * 33)]
     found = queries.op12_periodic_runs(spark, tables(documents=docs_of(rows))).collect()
     texts = dict(rows)
     assert len(found) == len(rows) and sum(r["n_runs"] for r in found) > 10
