@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fieldgap.llm import (
+    alignment,
     decontamination,
     line_dedup,
     oracle,
@@ -122,6 +123,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.piece_digests(pieces)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.aligned(
+        table(spark, sf_dir, "documents"),
+        tokenizer_path(alignment.BYTE_TOKENIZER),
+        tokenizer_path(alignment.PIECE_MODEL),
+        digest=True,
+    )
+    numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return found.select(F.col("id").alias("doc_id"), *numbers, F.col("groups").alias("groups_sha256"))
+
+
 BLANKS = " \t\n\x0b\f\r"
 
 
@@ -191,6 +203,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
+    "op11_token_alignment": op11_token_alignment,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_sentencepiece": op13_sentencepiece,
     "pipeline": corpus_pipeline.run,
