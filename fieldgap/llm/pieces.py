@@ -18,10 +18,10 @@ separate rows; a null id stays null; an empty table gives none. Memory is a batc
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import repeat
-from operator import add
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ SPACE = "▁"
 UNKNOWN = " ⁇ "
 #: Parts a task remembers, and their longest.
 REMEMBERED, LONGEST = 1 << 19, 64
+#: Characters of texts that are encoded together.
+TOGETHER = 2 << 20
 #: Characters round which texts are cut, if no piece of several characters holds them.
 LONE = "\n\t\r"
 IDS = np.dtype("<i4")
@@ -70,8 +72,6 @@ class Vocabulary:
         self.own_rules = lib.normalize(probe) == SPACE + probe.replace(" ", SPACE)
         wide = [p for p in self.number if len(p) > 1]
         lone = "".join(c for c in LONE if not any(c in p for p in wide))
-        #: Neighbours within some piece.
-        self.pairs = {p[i : i + 2] for p in wide for i in range(len(p) - 1)}
         across = any(SPACE in p.lstrip(SPACE) for p in wide)
         self.parts = None if across else re.compile(f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+" + (f"|[{lone}]" if lone else ""))
 
@@ -81,30 +81,74 @@ class Vocabulary:
         return SPACE + text.replace(" ", SPACE) if self.own_rules else self.library.normalize(text)
 
 
-def merged(part: str, rank: dict[str, float]) -> list[str]:
-    """The symbols that are left when the agenda is empty; for short parts.
+class Agendas:
+    """The agendas of many short parts at once: places of pairs with what they stand at, part after part.
 
-    `agenda[i]` is what the pair of symbols i and i + 1 stands at; the smallest comes first, of equal ones the leftmost.
+    In each round every part takes its best pair, of equal ones the leftmost. Symbols are numbers: of pieces their
+    own, of other characters their code point behind the last piece.
     """
-    symbol, end, get = list(part), len(part) - 1, rank.get
-    agenda = list(map(get, map(add, part, part[1:]), repeat(NEVER)))
-    while end > 0:
-        best = min(agenda)
-        if best is NEVER:
-            break
-        i = agenda.index(best)
-        whole = symbol[i] = symbol[i] + symbol.pop(i + 1)
-        del agenda[i]
-        end -= 1
-        if i < end:
-            agenda[i] = get(whole + symbol[i + 1], NEVER)
-        if i:
-            agenda[i - 1] = get(symbol[i - 1] + whole, NEVER)
-    return symbol
+
+    def __init__(self, number: dict[str, int], rank: dict[str, float], size: int):
+        self.size, self.wide = size, size + sys.maxunicode + 1
+        self.of_char = np.arange(size, self.wide, dtype=np.int64)
+        for piece, i in number.items():
+            if len(piece) == 1:
+                self.of_char[ord(piece)] = i
+        known = {}
+        for whole, i in number.items():
+            for k in range(1, len(whole)):
+                left, right = number.get(whole[:k]), number.get(whole[k:])
+                if left is not None and right is not None:
+                    known[left * self.wide + right] = (i, rank[whole])
+        keys = np.array(sorted(known), np.int64)
+        #: Pairs by key, with a last one that no pair has.
+        self.keys = np.append(keys, np.iinfo(np.int64).max)
+        self.whole = np.array([known[k][0] for k in keys.tolist()] + [0], np.int64)
+        self.rank = np.array([known[k][1] for k in keys.tolist()] + [NEVER])
+
+    def ranked(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = left * self.wide + right
+        at = np.searchsorted(self.keys, key)
+        hit = self.keys[at] == key
+        return np.where(hit, self.rank[at], NEVER), self.whole[at]
+
+    def merged(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all parts when their agendas are empty, and where each part's end."""
+        symbol = self.of_char[np.frombuffer("".join(parts).encode("utf-32-le"), "<u4")]
+        part = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        done: list[np.ndarray] = []
+        rank, whole = np.full(len(symbol), NEVER), np.zeros(len(symbol), np.int64)
+        inner = np.flatnonzero(part[1:] == part[:-1])
+        rank[inner], whole[inner] = self.ranked(symbol[inner], symbol[inner + 1])
+        while len(symbol):
+            begins = np.flatnonzero(np.diff(part, prepend=-1))
+            best = np.minimum.reduceat(rank, begins)
+            lengths = np.diff(begins, append=len(part))
+            over = np.repeat(best == NEVER, lengths)
+            if over.any():
+                done.append(np.stack([part[over], symbol[over]]))
+                stay = ~over
+                symbol, part, rank, whole = symbol[stay], part[stay], rank[stay], whole[stay]
+                lengths, best = lengths[best != NEVER], best[best != NEVER]
+            at = np.flatnonzero(rank == np.repeat(best, lengths))
+            at = at[np.diff(part[at], prepend=-1) > 0]
+            symbol[at] = whole[at]
+            stay = np.ones(len(symbol), bool)
+            stay[at + 1] = False
+            symbol, part, rank, whole = symbol[stay], part[stay], rank[stay], whole[stay]
+            at -= np.arange(len(at))
+            # The taken symbol's pairs on either side stand anew.
+            rank[at] = NEVER
+            for left in (at, at[at > 0] - 1):
+                left = left[left + 1 < len(part)]
+                left = left[part[left] == part[left + 1]]
+                rank[left], whole[left] = self.ranked(symbol[left], symbol[left + 1])
+        owner, symbols = np.concatenate([np.zeros((2, 0), np.int64), *done], axis=1)
+        return symbols[np.argsort(owner, kind="stable")], np.cumsum(np.bincount(owner, minlength=len(parts)))
 
 
 def merged_long(part: str, rank: dict[str, float]) -> list[str]:
-    """The same for parts of any length: the agenda is a heap, the symbols are linked."""
+    """The symbols of one part of any length: the agenda is a heap, the symbols are linked."""
     symbol: list[str | None] = list(part)
     before, after = list(range(-1, len(symbol) - 1)), list(range(1, len(symbol) + 1))
     end = len(symbol)
@@ -134,51 +178,62 @@ def merged_long(part: str, rank: dict[str, float]) -> list[str]:
     return [s for s in symbol if s is not None]
 
 
-def encoder(vocabulary: Vocabulary) -> Callable[[str], bytes]:
-    """A text's ids as little-endian 32-bit numbers."""
-    rank, spelled, cut = vocabulary.rank, vocabulary.bytes, vocabulary.parts
-
-    class Packed(dict):
-        """The ids of a symbol: its own, or its bytes'."""
+def encoder(vocabulary: Vocabulary) -> Callable[[list[str]], list[bytes]]:
+    """The ids of each of some texts as little-endian 32-bit numbers."""
+    rank, spelled, cut, number = vocabulary.rank, vocabulary.bytes, vocabulary.parts, vocabulary.number
+    size = vocabulary.library.get_piece_size()
+    agendas = Agendas(number, rank, size)
 
-        def __missing__(self, symbol: str) -> bytes:
-            return np.array([spelled[b] for b in symbol.encode()] if spelled else [vocabulary.unknown], IDS).tobytes()
+    def spell(character: str) -> list[int]:
+        return [spelled[b] for b in character.encode()] if spelled else [vocabulary.unknown]
 
-    packed = Packed({p: i.to_bytes(IDS.itemsize, "little") for p, i in vocabulary.number.items()})
+    def packed(ids: list[int]) -> bytes:
+        return np.array(ids, IDS).tobytes()
 
-    def ids_of(part: str) -> bytes:
-        left = merged(part, rank) if len(part) <= LONGEST else merged_long(part, rank)
-        return b"".join(map(packed.__getitem__, left))
+    def of_long(part: str) -> bytes:
+        return packed([i for x in merged_long(part, rank) for i in ([number[x]] if x in number else spell(x))])
 
     class Known(dict):
-        """The ids of a part, or of a word behind a space sign."""
+        """Ids of short parts; long ones are not remembered."""
 
-        def __init__(self, sign: str = ""):
+        def __init__(self, sign: str):
             self.sign = sign
 
-        def __missing__(self, word: str) -> bytes:
-            if 1 < len(word) <= LONGEST and word[-2:] not in vocabulary.pairs:  # as a full stop after a word
-                found = self[word[:-1]] + ids_of(word[-1])
+        def __missing__(self, part: str) -> bytes:
+            return of_long(self.sign + part)
+
+    def learn(known: Known, parts: list[str]) -> None:
+        """Add the ids of short parts, each behind the sign."""
+        symbols, ends = agendas.merged([known.sign + p for p in parts])
+        ids, low = symbols.astype(IDS).tobytes(), 0
+        strange = np.add.reduceat(symbols >= size, np.append(0, ends[:-1])).tolist() if len(ends) else []
+        for part, end, odd in zip(parts, ends.tolist(), strange, strict=True):
+            if odd:
+                own = symbols[low:end].tolist()
+                known[part] = packed([i for x in own for i in ([x] if x < size else spell(chr(x - size)))])
             else:
-                found = b"".join(map(ids_of, cut.findall(self.sign + word)))
-            if len(word) <= LONGEST:
-                self[word] = found
-            return found
-
-    words, parts = Known(SPACE), Known()
-
-    def encode(text: str) -> bytes:
-        normal = vocabulary.normal(text)
-        if cut is None:
-            return ids_of(normal) if normal else b""
+                known[part] = ids[IDS.itemsize * low : IDS.itemsize * end]
+            low = end
+
+    words, parts = Known(SPACE), Known("")
+
+    def encode(texts: list[str]) -> list[bytes]:
+        split: list[tuple[Known, list[str]]] = []
+        for text in texts:
+            normal = vocabulary.normal(text)
+            behind = normal.split(SPACE) if cut else []
+            if cut is None:
+                split.append((parts, [normal] if normal else []))
+            elif not behind[0] and "" not in behind[1:]:
+                split.append((words, behind[1:]))
+            else:  # runs of signs belong together
+                split.append((parts, cut.findall(normal)))
         for known in (words, parts):
             if len(known) >= REMEMBERED:
                 known.clear()
-        behind = normal.split(SPACE)
-        # Between single signs each word has its own; runs of signs belong together.
-        if behind[0] or "" in behind[1:]:
-            return b"".join(map(parts.__getitem__, cut.findall(normal)))
-        return b"".join(map(words.__getitem__, behind[1:]))
+            seen = set(chain.from_iterable(own for where, own in split if where is known))
+            learn(known, [p for p in seen if p not in known and len(p) < LONGEST])
+        return [b"".join(map(known.__getitem__, own)) for known, own in split]
 
     return encode
 
@@ -227,16 +282,23 @@ def encoded(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
         vocabulary = Vocabulary(model)
         encode, decode, library = encoder(vocabulary), decoder(vocabulary), vocabulary.library
         for batch in rows:
-            ids, texts, agrees = [], [], []
-            for text in batch.column(1).to_pylist():
-                own = encode(text or "")
-                back = decode(np.frombuffer(own, IDS).tolist())
-                # One text at a time, so that the library's ids of a batch do not stand beside the own ones.
-                checked = library.encode_as_numpy(text or "").astype(IDS, copy=False)
-                known = library.decode(checked.tolist()) if len(checked) else ""
-                agrees.append(own == checked.tobytes() and back == known)
-                ids.append(checked)
-                texts.append(known)
+            ids, texts, agrees, some, size = [], [], [], [], 0
+            column = batch.column(1).to_pylist()
+            for n, text in enumerate(column, 1):
+                some.append(text or "")
+                size += len(some[-1])
+                if size < TOGETHER and n < len(column):
+                    continue
+                for one, own in zip(some, encode(some), strict=True):
+                    # One text at a time, so that the library's ids of a batch do not stand beside the own ones.
+                    checked = library.encode_as_numpy(one).astype(IDS, copy=False)
+                    listed = checked.tolist()
+                    known, same = library.decode(listed) if listed else "", own == checked.tobytes()
+                    back = decode(listed if same else np.frombuffer(own, IDS).tolist())
+                    agrees.append(same and back == known)
+                    ids.append(checked)
+                    texts.append(known)
+                some, size = [], 0
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
