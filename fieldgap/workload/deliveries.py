@@ -7,11 +7,13 @@ shared one, runs the readers and sinks on it and returns what they give back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fieldgap.operators.buckets import BucketedTable
 from fieldgap.session import scratch_path
 from fieldgap.sources.feeds import read_feed, read_seed, write_csv
 from fieldgap.sources.landing import land_flat_files
@@ -140,17 +142,68 @@ def fingerprint_invariants(spark: SparkSession, sf: str) -> DataFrame:
     marked = part.join(first, part["p_partkey"] == first["k"], "left")
     changed = F.when(F.col("k").isNotNull(), F.concat(line, F.lit("x"))).otherwise(line)
 
-    def seen(lines: DataFrame, name: str) -> DataFrame:
-        return content_fingerprint(lines.select(F.col("value"))).select("rows_seen", F.col("fingerprint").alias(name))
+    runs = {
+        "plain": part.select(line.alias("value")),
+        "turned": part.repartition(5, "p_name").sortWithinPartitions(F.desc("p_partkey")).select(line.alias("value")),
+        "other": marked.select(changed.alias("value")),
+        "fewer": marked.where("k is null").select(line.alias("value")),
+    }
+    seen = [content_fingerprint(lines).select(F.lit(run).alias("run"), "rows_seen", "fingerprint") for run, lines in runs.items()]
 
-    plain = seen(part.select(line.alias("value")), "plain")
-    turned = seen(part.repartition(5, "p_name").sortWithinPartitions(F.desc("p_partkey")).select(line.alias("value")), "turned")
-    other = seen(marked.select(changed.alias("value")), "other")
-    fewer = seen(marked.where("k is null").select(line.alias("value")), "fewer")
-    told = [df.select(F.lit(1).alias("one"), "*").withColumnRenamed("rows_seen", f"rows_{i}") for i, df in enumerate((plain, turned, other, fewer))]
-    joined = told[0].join(told[1], "one").join(told[2], "one").join(told[3], "one")
+    def of(run: str, column: str) -> Column:
+        return F.max(F.when(F.col("run") == run, F.col(column)))
+
+    together = reduce(DataFrame.unionByName, seen).agg(
+        of("plain", "rows_seen").alias("lines"), *[of(run, "fingerprint").alias(run) for run in runs]
+    )
     same = {"same_in_other_order": "turned", "same_after_one_cell": "other", "same_without_one_line": "fewer"}
-    return joined.select(F.col("rows_0").alias("lines"), *[(F.col("plain") == F.col(c)).alias(n) for n, c in same.items()])
+    return together.select("lines", *[(F.col("plain") == F.col(run)).alias(name) for name, run in same.items()])
+
+
+BUCKETS = 64
+
+
+@_query(
+    """select o_orderkey as order_key, case when o_orderkey % 997 = 3 then o_custkey + 1 else o_custkey end as customer_key,
+    case when o_orderkey % 997 = 3 then 'late' else o_orderpriority end as priority from orders
+    union all select -1, 0, 'new'"""
+)
+def bucket_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """INC-1: corrected orders and a new one replace theirs in a bucketed table, bucket by bucket."""
+    orders = _table(spark, sf, "orders")
+    rows = orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer_key"), F.col("o_orderpriority").alias("priority"))
+    held = BucketedTable(spark, scratch_path(spark, "bucketed"), ["order_key"], BUCKETS)
+    held.create(rows)
+    corrected = rows.where("order_key % 997 = 3").select("order_key", (F.col("customer_key") + 1).alias("customer_key"), F.lit("late").alias("priority"))
+    fresh = spark.range(1).select(F.lit(-1).alias("order_key"), F.lit(0).alias("customer_key"), F.lit("new").alias("priority"))
+    held.replace_keys(corrected.unionByName(fresh))
+    return held.read()
+
+
+@_query(
+    """with l as (
+      select l_orderkey, l_linenumber, l_returnflag from lineitem
+      union all select l_orderkey, 99, 'Z' from lineitem where l_orderkey % 997 = 3 and l_linenumber = 1
+    ) select l_orderkey as order_key, count(*) as lines, count(distinct l_returnflag) as modes, max(l_linenumber)::bigint as last_line
+    from l group by l_orderkey"""
+)
+def bucket_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """INC-2: lines arrive late; the facts of their orders are built anew from all lines of these orders."""
+    lines = _table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").cast("long").alias("line"), F.col("l_returnflag").alias("mode"))
+    late = lines.where("order_key % 997 = 3 and line = 1").select("order_key", F.lit(99).cast("long").alias("line"), F.lit("Z").alias("mode"))
+
+    def facts(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("order_key").agg(
+            F.count("*").alias("lines"), F.count_distinct("mode").alias("modes"), F.max("line").alias("last_line")
+        )
+
+    landed, built = (BucketedTable(spark, scratch_path(spark, name), ["order_key"], BUCKETS) for name in ("lines", "facts"))
+    landed.create(lines)
+    built.create(facts(landed.read()))
+    arrived = lines.join(late.select("order_key"), "order_key", "left_semi").unionByName(late)
+    landed.replace_keys(arrived)
+    built.rebuild_keys(late, landed, facts)
+    return built.read()
 
 
 FEED_COLUMNS = ["part_number", "name", "note", "remark"]
