@@ -17,9 +17,15 @@ def tolerant_int(c: Column, to: str = "int") -> Column:
     return F.coalesce(plain, rounded)
 
 
+#: A number in digits, with an exponent or without; casts alone take '1d', 'NaN' and 'Infinity' too.
+NUMBER = r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
+
+
 def tolerant_double(c: Column) -> Column:
-    """Double from text or NULL; goes through decimal so that '1d' or 'NaN' are not numbers."""
-    return trim_spaces(c).try_cast("decimal(38,10)").cast("double")
+    """Double from text or NULL, of any size and precision; what is beyond a double's range is NULL."""
+    text = trim_spaces(c)
+    value = F.when(text.rlike(NUMBER), text).try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def number_or(c: Column, sentinel: float) -> Column:

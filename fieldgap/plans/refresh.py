@@ -309,8 +309,9 @@ def refresh(
     """Land what is given, rebuild and test. Returns the landing outcome per flat file.
 
     Models are rebuilt whenever the landed versions, the parameters or the reference lists differ
-    from those of the last build that passed its tests, so a run that failed on the way is made up
-    for by the next one. Models become current together, after their tests.
+    from those of the last build, so a run that failed on the way is made up for by the next one; a
+    build without tests does not count where tests are asked for. Models become current together,
+    after their tests.
     """
     inputs.check()
     stage = _Stages(spark, wh)
@@ -339,11 +340,11 @@ def refresh(
 
         stage("catalog", catalog_stage)
     fingerprint = build_fingerprint(wh, inputs.as_of_year)
-    if skip_unchanged and not full_refresh and wh.last_build() == fingerprint:
+    if skip_unchanged and not full_refresh and wh.is_built(fingerprint, tested=run_tests):
         return landed
     m, paths = stage("models", lambda: write_models(spark, wh, inputs.as_of_year, full_refresh, drop_vanished))
     if run_tests:
         stage("tests", lambda: require_passed(check_models(wh, m, inputs.as_of_year)))
     wh.commit(paths)
-    wh.record_build(fingerprint)
+    wh.record_build(fingerprint, tested=run_tests)
     return landed

@@ -22,7 +22,7 @@ from fieldgap.operators.dedup import latest_per_key
 from fieldgap.operators.incremental import keyed_replace
 
 WRITERS = 4
-BUILD_SCHEMA = "fingerprint string, built_at timestamp"
+BUILD_SCHEMA = "fingerprint string, tested boolean, built_at timestamp"
 COMMIT_SCHEMA = "seq bigint, table_name string, part string, path string, committed_at timestamp"
 MANIFEST_SCHEMA = (
     "batch_id string, source string, url string, etag string, last_modified string, "
@@ -124,14 +124,18 @@ class Warehouse:
         return sorted((r.table_name, r.part, r.path) for r in self._current() if r.table_name.startswith(f"{layer}.") and r.path)
 
     # -- builds --------------------------------------------------------------------
-    def record_build(self, fingerprint: str) -> None:
-        """Remember what the current models were built from."""
-        row = self.spark.createDataFrame([(fingerprint, utc_now())], BUILD_SCHEMA)
+    def record_build(self, fingerprint: str, tested: bool) -> None:
+        """Remember what the current models were built from and whether they passed the data tests."""
+        row = self.spark.createDataFrame([(fingerprint, tested, utc_now())], BUILD_SCHEMA)
         self.append("meta.builds", row.coalesce(1))
 
-    def last_build(self) -> str | None:
+    def is_built(self, fingerprint: str, tested: bool) -> bool:
+        """Whether the last build is of this fingerprint, and passed its tests if that is asked for."""
         builds = self._read_or_none(f"{self.root}/meta/builds", BUILD_SCHEMA)
-        return None if builds is None else builds.agg(F.max_by("fingerprint", "built_at")).first()[0]
+        if builds is None:
+            return False
+        last = builds.agg(F.max_by(F.struct("fingerprint", "tested"), "built_at").alias("b")).select("b.*").first()
+        return last.fingerprint == fingerprint and (bool(last.tested) or not tested)
 
     def replace(self, table: str, df: DataFrame) -> DataFrame:
         """Full replacement of one table."""

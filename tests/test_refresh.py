@@ -203,6 +203,25 @@ def test_failed_builds_are_made_up_for(spark, built, monkeypatch):
     refresh(spark, wh, later, run_tests=False, drop_vanished=True)
 
 
+def test_untested_builds_do_not_count_as_tested(spark, built, monkeypatch):
+    """Models published without tests are built again, and tested, by the next refresh that tests."""
+    _, wh, inputs = built
+    quiet = Inputs(as_of_year=YEAR + 7, flat_files=inputs.flat_files)
+    vehicles = marts.dim_vehicle
+    with monkeypatch.context() as patch:
+        patch.setattr(plan.marts, "dim_vehicle", lambda rows, year: vehicles(rows, year).withColumn("make", F.lit(None).cast("string")))
+        refresh(spark, wh, quiet, run_tests=False)
+    assert wh.read("marts.dim_vehicle").where("make is null").count() > 0
+    runs = wh.log("meta.test_results").select("invocation_id").distinct().count()
+    refresh(spark, wh, quiet)
+    assert wh.read("marts.dim_vehicle").where("make is null").count() == 0
+    assert wh.log("meta.test_results").select("invocation_id").distinct().count() == runs + 1
+    files = wh.read("marts.dim_vehicle").inputFiles()
+    refresh(spark, wh, quiet)
+    refresh(spark, wh, quiet, run_tests=False)
+    assert wh.read("marts.dim_vehicle").inputFiles() == files
+
+
 def test_parameters_are_part_of_the_build(spark, built):
     _, wh, inputs = built
     quiet = inputs.flat_files
