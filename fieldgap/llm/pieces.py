@@ -257,7 +257,7 @@ def decoder(vocabulary: Vocabulary) -> Callable[[list[int]], str]:
 
     def decode(ids: list[int]) -> str:
         if spelled.isdisjoint(ids):
-            text = "".join([surface[i] for i in ids])
+            text = "".join(map(surface.__getitem__, ids))
         else:
             out, run = [], bytearray()
             for i in ids:
