@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldgap.operators.buckets import BucketedTable
+from fieldgap.plans import reports
 from fieldgap.session import scratch_path
 from fieldgap.sources.feeds import read_feed, read_seed, write_csv
 from fieldgap.sources.landing import land_flat_files
@@ -90,29 +91,42 @@ def replaced_source(spark: SparkSession, sf: str) -> DataFrame:
     return d.landed()
 
 
-@_query(
-    f"""with n as (select '{CLOSED}' as source, count(*) filter (o_orderstatus = 'F') as whole,
+_ATTEMPTS = f"""with n as (select '{CLOSED}' as source, count(*) filter (o_orderstatus = 'F') as whole,
              count(*) filter (o_orderstatus = 'F') as later from orders
       union all select '{OPEN}', count(*) filter (o_orderstatus <> 'F'), count(*) filter (o_orderstatus <> 'F' and o_orderkey % 2 = 0) from orders)
     select source, unnest([1, 2, 3, 4]) as attempt,
            unnest(['loaded', 'unchanged', case source when '{OPEN}' then 'loaded' else 'unchanged' end, 'loaded']) as status,
            unnest([whole, 0, case source when '{OPEN}' then later else 0 end, later]) as rows_loaded,
            unnest([5, 0, case source when '{OPEN}' then 5 else 0 end, 5]) as columns_seen, 5 as columns_expected from n"""
-)
-def load_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """SRC-6, SRC-7, INC-7: first landing, the same files again, one corrected file, a forced reload."""
-    d = Deliveries(spark, sf)
+
+
+def _four_landings(d: Deliveries) -> DataFrame:
+    """The manifest of a first landing, the same files again, one corrected file, a forced reload."""
     d.deliver_all()
     d.land()
     d.land()
     d.deliver(OPEN, f"{FILES[OPEN]} and o_orderkey % 2 = 0")
     d.land()
     d.land(force=True)
+    return d.warehouse.log("meta.ingest_manifest")
+
+
+@_query(_ATTEMPTS)
+def load_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-6, SRC-7, INC-7: what each landing did, by source and attempt."""
+    manifest = _four_landings(Deliveries(spark, sf))
     attempt = F.row_number().over(Window.partitionBy("source").orderBy("loaded_at"))
-    manifest = d.warehouse.log("meta.ingest_manifest")
     return manifest.select("source", attempt.alias("attempt"), "status", "rows_loaded", "columns_seen", "columns_expected")
 
 
+@_query(f"select source, status, rows_loaded, columns_seen, columns_expected, true as truncated from ({_ATTEMPTS}) where attempt > 2")
+def load_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Q-11: the newest four of eight load attempts, and that there are more."""
+    rows, more = reports.load_history(_four_landings(Deliveries(spark, sf)), 4)
+    truncated = more.select("truncated").scalar()
+    return rows.select("source", "status", "rows_loaded", "columns_seen", "columns_expected", truncated.alias("truncated"))
+
+
 @_query(
     f"select '{OPEN}' as source, 'lost' as found, 0 as stored from orders having count(*) > 0 "
     f"union all select '{OPEN}', 'reloaded', count(*) from orders where o_orderstatus <> 'F'"

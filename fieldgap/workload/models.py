@@ -212,16 +212,27 @@ _add(
     "select 'parts' as feed, count(*) as rows_in, count(*) as accounted from judged_r2 "
     "union all select 'fitment', count(*), count(*) from judged_fitment",
 )
+
+
+def feed_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics of two feed runs, of which the reports take the newest."""
+    earlier = judge_parts(feeds.part_feed(derived(spark, sf).table("part"), 0)).metrics
+    runs = (("r2", v.SNAPSHOTS[2], feed_metrics(spark, sf)), ("r0", v.SNAPSHOTS[0], earlier))
+    told = [m.withColumns({"run_id": F.lit(run), "run_at": F.lit(at).cast("timestamp")}) for run, at, m in runs]
+    return told[0].unionByName(told[1])
+
+
+_add("feed_reasons", lambda spark, sf: reports.latest_feed_metrics(feed_runs(spark, sf)), "judged_fitment", _FEED_METRICS)
+_add(
+    "quarantine_sample",
+    lambda spark, sf: reports.quarantine_sample(derived(spark, sf).parts_judged().quarantined)[0],
+    "judged_r2",
+    f"""select {RAW_PART}, array_to_string(reasons, ',') as _reasons from judged_r2 where len(reasons) > 0
+    order by all nulls first limit 200""",
+)
 _add(
     "feed_summary",
-    lambda spark, sf: reports.feed_summary(
-        feed_metrics(spark, sf).withColumns({"run_id": F.lit("r2"), "run_at": F.lit(v.SNAPSHOTS[2]).cast("timestamp")})
-        .unionByName(
-            judge_parts(feeds.part_feed(derived(spark, sf).table("part"), 0)).metrics.withColumns(
-                {"run_id": F.lit("r0"), "run_at": F.lit(v.SNAPSHOTS[0]).cast("timestamp")}
-            )
-        )
-    ),
+    lambda spark, sf: reports.feed_summary(feed_runs(spark, sf)),
     "judged_fitment",
     f"select distinct feed, rows_in, rows_valid, rows_quarantined, standardized, deduplicated from ({_FEED_METRICS})",
 )
