@@ -44,6 +44,10 @@ class DataTestError(RuntimeError):
 
 #: One part per run, current together with the tables that the run published.
 CATALOG_RUNS = "meta.catalog_dq_runs"
+RESULT_SCHEMA = (
+    "invocation_id string, command string, unique_id string, resource_type string, status string, "
+    "failures bigint, message string, recorded_at timestamp, seconds double"
+)
 RUN_SCHEMA = "run_id string, stage string, status string, seconds double, message string, finished_at timestamp"
 
 
@@ -169,8 +173,12 @@ def write_models(
     as_of_year: int,
     full_refresh: bool = False,
     drop_vanished: bool = False,
+    outcomes: dict[str, tuple[str, float, str]] | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Write every model as a version that is not current yet; returns frames and paths."""
+    """Write every model as a version that is not current yet; returns frames and paths.
+
+    `outcomes` takes (status, seconds, message) of each model.
+    """
     staged: dict[str, str] = {}
     aliases, taxonomy, rules = make_aliases(spark), component_taxonomy(spark), model_rules(spark)
     bronze = {
@@ -180,7 +188,7 @@ def write_models(
     m: dict[str, DataFrame] = {"make_aliases": aliases, **bronze}
 
     def put(layer: str, **frames: DataFrame) -> None:
-        paths = wh.write_versions({f"{layer}.{name}": df for name, df in frames.items()})
+        paths = wh.write_versions({f"{layer}.{name}": df for name, df in frames.items()}, outcomes=outcomes)
         staged.update(paths)
         m.update({table.split(".", 1)[1]: spark.read.parquet(path) for table, path in paths.items()})
 
@@ -254,9 +262,20 @@ def write_models(
     return m, staged
 
 
-def check_models(wh: Warehouse, m: Mapping[str, DataFrame], as_of_year: int) -> DataFrame:
-    """Run the suite once, append its outcome to the log and return the stored rows."""
-    invocation, now = uuid.uuid4().hex[:12], utc_now()
+def record_models(wh: Warehouse, outcomes: Mapping[str, tuple[str, float, str]], invocation: str) -> None:
+    """Append one row per written model and snapshot, with its time, to the log of the build (DQ-16)."""
+    now = utc_now()
+    rows = [
+        (invocation, "build", table, "snapshot" if table.startswith("snapshots.") else "model", status, None, message, now, seconds)
+        for table, (status, seconds, message) in sorted(outcomes.items())
+    ]
+    if rows:
+        wh.append("meta.test_results", wh.spark.createDataFrame(rows, RESULT_SCHEMA).coalesce(1))
+
+
+def check_models(wh: Warehouse, m: Mapping[str, DataFrame], as_of_year: int, invocation: str) -> DataFrame:
+    """Run the suite once, append its outcome to the log of the build and return the build's rows."""
+    now = utc_now()
     results = run_checks(m, warehouse_tests(m, as_of_year)).select(
         F.lit(invocation).alias("invocation_id"),
         F.lit("build").alias("command"),
@@ -266,9 +285,10 @@ def check_models(wh: Warehouse, m: Mapping[str, DataFrame], as_of_year: int) ->
         "failures",
         F.lit("").alias("message"),
         F.lit(now).alias("recorded_at"),
+        F.lit(None).cast("double").alias("seconds"),
     )
     wh.append("meta.test_results", results.coalesce(1))
-    return wh.log("meta.test_results").filter(F.col("invocation_id") == invocation)
+    return wh.log("meta.test_results", RESULT_SCHEMA).filter(F.col("invocation_id") == invocation)
 
 
 def require_passed(results: DataFrame) -> None:
@@ -342,9 +362,13 @@ def refresh(
     fingerprint = build_fingerprint(wh, inputs.as_of_year)
     if skip_unchanged and not full_refresh and wh.is_built(fingerprint, tested=run_tests):
         return landed
-    m, paths = stage("models", lambda: write_models(spark, wh, inputs.as_of_year, full_refresh, drop_vanished))
+    outcomes: dict[str, tuple[str, float, str]] = {}
+    try:
+        m, paths = stage("models", lambda: write_models(spark, wh, inputs.as_of_year, full_refresh, drop_vanished, outcomes))
+    finally:
+        record_models(wh, outcomes, stage.run_id)
     if run_tests:
-        stage("tests", lambda: require_passed(check_models(wh, m, inputs.as_of_year)))
+        stage("tests", lambda: require_passed(check_models(wh, m, inputs.as_of_year, stage.run_id)))
     wh.commit(paths)
     wh.record_build(fingerprint, tested=run_tests)
     return landed

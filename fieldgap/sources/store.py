@@ -9,6 +9,7 @@ unreferenced folder behind.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -83,8 +84,13 @@ class Warehouse:
         except KeyError:
             return None
 
-    def write_versions(self, tables: dict[str, DataFrame], part: str = "") -> dict[str, str]:
-        """Write all frames as new versions that nobody reads yet; returns their paths."""
+    def write_versions(
+        self, tables: dict[str, DataFrame], part: str = "", outcomes: dict[str, tuple[str, float, str]] | None = None
+    ) -> dict[str, str]:
+        """Write all frames as new versions that nobody reads yet; returns their paths.
+
+        `outcomes` takes (status, seconds, message) of each table, of a failed one too.
+        """
         seq = max((row.seq for row in self._current()), default=0) + 1
         version = f"v{seq:08d}-{uuid.uuid4().hex[:8]}"
         paths = {}
@@ -94,7 +100,15 @@ class Warehouse:
             paths[table] = f"{self.root}/{layer}/{name}/{folder}{version}"
 
         def write(table: str) -> None:
-            tables[table].write.mode("errorifexists").parquet(paths[table])
+            begun, status, message = time.monotonic(), "success", ""
+            try:
+                tables[table].write.mode("errorifexists").parquet(paths[table])
+            except Exception as err:
+                status, message = "error", str(err)
+                raise
+            finally:
+                if outcomes is not None:
+                    outcomes[table] = (status, round(time.monotonic() - begun, 3), message)
 
         # Independent jobs share the cluster; a commit waits for all of them.
         with ThreadPoolExecutor(max_workers=WRITERS) as pool:
@@ -176,9 +190,10 @@ class Warehouse:
         layer, name = table.split(".", 1)
         df.write.mode("append").parquet(f"{self.root}/{layer}/{name}")
 
-    def log(self, table: str) -> DataFrame | None:
+    def log(self, table: str, schema: str | None = None) -> DataFrame | None:
+        """An append-only table; with a schema, rows written before a column was added have NULL there."""
         layer, name = table.split(".", 1)
-        return self._read_or_none(f"{self.root}/{layer}/{name}")
+        return self._read_or_none(f"{self.root}/{layer}/{name}", schema)
 
     # -- load manifest -------------------------------------------------------------
     def record_loads(self, rows: Sequence[tuple]) -> None:

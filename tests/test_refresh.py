@@ -145,7 +145,15 @@ def test_feed_contract(built):
 def test_every_data_test_is_recorded(built):
     _, wh, _ = built
     results = wh.log("meta.test_results")
-    assert results.groupBy("invocation_id").count().first()["count"] == 50
+    assert results.where("resource_type = 'test'").groupBy("invocation_id").count().first()["count"] == 50
+    written = results.where("resource_type <> 'test'").collect()
+    assert {r.status for r in written} == {"success"} and all(r.seconds > 0 for r in written)
+    assert {r.unique_id for r in written if r.resource_type == "snapshot"} == {"snapshots.snap_catalog_parts"}
+    assert len({r.invocation_id for r in results.select("invocation_id").collect()}) == 1
+    counts = {r.resource_type: r for r in reports.latest_test_status(results).collect()}
+    assert counts["test"]["pass"] + counts["test"]["warn"] == 50 and counts["model"]["success"] == len(written) - 1
+    runs, more = reports.run_history(wh.log("meta.pipeline_runs"), 3)
+    assert runs.count() == 3 and more.first().truncated
     failing = {r.unique_id for r in reports.failing_nodes(results).collect()}
     assert failing == set()
     stages = {r.stage for r in wh.log("meta.pipeline_runs").collect()}
@@ -317,10 +325,10 @@ def test_untested_builds_do_not_count_as_tested(spark, built, monkeypatch):
         patch.setattr(plan.marts, "dim_vehicle", lambda rows, year: vehicles(rows, year).withColumn("make", F.lit(None).cast("string")))
         refresh(spark, wh, quiet, run_tests=False)
     assert wh.read("marts.dim_vehicle").where("make is null").count() > 0
-    runs = wh.log("meta.test_results").select("invocation_id").distinct().count()
+    runs = wh.log("meta.test_results").where("resource_type = 'test'").select("invocation_id").distinct().count()
     refresh(spark, wh, quiet)
     assert wh.read("marts.dim_vehicle").where("make is null").count() == 0
-    assert wh.log("meta.test_results").select("invocation_id").distinct().count() == runs + 1
+    assert wh.log("meta.test_results").where("resource_type = 'test'").select("invocation_id").distinct().count() == runs + 1
     files = wh.read("marts.dim_vehicle").inputFiles()
     refresh(spark, wh, quiet)
     refresh(spark, wh, quiet, run_tests=False)
