@@ -4,11 +4,11 @@ from __future__ import annotations
 
 WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
-LINE_DEDUP = """
+LINE_DEDUP = r"""
 with lines as (
   select doc_id, u.i as i, u.line as line,
          cast(('0x' || substr(md5(u.line), 1, 8)) as bigint) as h,
-         strlen(u.line) - strlen(replace(u.line, ' ', '')) >= 49 as long_line, trim(u.line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) <> '' as has_words
+         strlen(u.line) >= 99 and len(regexp_extract_all(u.line, '[^ \t\r\x0B\f]+')) >= 50 as long_line, trim(u.line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) <> '' as has_words
   from (select doc_id, unnest(list_transform(string_split(text, chr(10)), lambda x, i: {'i': i, 'line': x})) as u
         from documents where text is not null)
 ), cut as (
@@ -92,12 +92,13 @@ where rank <= 20
 """
 
 URLS = """
-with parsed as (
+with cut as (
+  select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
+), parsed as (
   select page_id,
-         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
-                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
-         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*(/[^?#]*)', 1), '') as path
-  from pages
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) as path
+  from cut
 ), rules(verdict, host, path) as (
   values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
          ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
