@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldgap.functions import sql as sql_functions
 from fieldgap.functions.aggregates import mean
 from fieldgap.functions.scalars import all_of
 from fieldgap.operators.merge import kpi_row, scalar_of
@@ -30,9 +31,10 @@ def ask(
 ) -> tuple[DataFrame, DataFrame]:
     """Run a query over the tables with positional parameters, capped at `limit` rows.
 
-    Tables are written as {name} in the text. Returns the rows and a one-row frame that says
-    whether more exist.
+    Tables are written as {name} in the text; the functions of `functions/sql.py` may be called.
+    Returns the rows and a one-row frame that says whether more exist.
     """
+    sql_functions.register(spark)
     return capped(spark.sql(sql, args=list(args), **m), limit)
 
 
