@@ -54,3 +54,18 @@ def test_complaint_rows_shuffle_on_the_complaint_only(spark):
         if "narrative" in below.split("\n")[1]:
             wide.append([k.split("#")[0] for k in keys.split(", ")[:-1]])
     assert wide == [["complaint_id"]]
+
+
+def test_complaint_rows_are_not_sorted_before_they_shuffle(spark):
+    d = derived(spark, PLAIN)
+    staged = plan(d.lazy("stg_complaints"))
+    below = staged[staged.index("Exchange hashpartitioning(cmplid") :]
+    assert "Sort" not in below and "WindowGroupLimit" not in below
+    broadcasts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        facts = plan(fct_complaint(d["stg_complaints"], d["int_model_conformance"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
+    above = [part.split("\n")[1] for part in facts.split("Exchange hashpartitioning(complaint_id")[1:]]
+    assert above and not any("SortAggregate" in line for line in above)
