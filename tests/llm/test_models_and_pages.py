@@ -68,6 +68,30 @@ def test_pairwise_weights_order_the_classes():
     assert (strength[y == 1][:, None] <= strength[y == 0][None, :]).mean() < 0.005
 
 
+def test_every_labelled_row_counts_for_the_quality_model(spark, docs_of):
+    draw = random.Random(2)
+    rows = [(i, " ".join(draw.choices("ab cd efg hij klmn".split(), k=draw.randint(1, 60)))) for i in range(3000)]
+    labels = spark.createDataFrame([(i, int(len(t) > 100) ^ (i % 20 == 0)) for i, t in rows], "doc_id long, quality int")
+    found = quality.featured(docs_of(rows))
+    model = quality.fit(found, labels, F.lit(True))
+    x = np.array([quality.features(t) for _, t in rows])
+    y = np.array([r[1] for r in sorted(labels.collect())])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, x.std(0) + 1e-9)
+    strength = np.sort(model.strength(x))
+    at = int((y == 0).sum())
+    assert abs(model.threshold - (strength[at - 1] + strength[at]) / 2) < 1e-8
+    # Blocks stand for all pairs: the weights are close to those of all of them.
+    every = quality.Model(model.mean, model.scale, quality.rank((x - model.mean) / model.scale, y))
+    assert np.corrcoef(every.strength(x), model.strength(x))[0, 1] > 0.98
+
+
+def test_a_rare_class_has_partners_in_every_block(spark):
+    known = spark.range(5000).select("id", (F.col("id") % 1000 == 0).cast("int").alias("y"), F.array(F.col("id").cast("double")).alias("x"))
+    dealt = quality.blocks(known.withColumn("n", F.lit(1)), {0: 4995, 1: 5}).select("rows").collect()
+    assert all({cell["y"] for cell in r["rows"]} == {0, 1} for r in dealt)
+    assert {cell["id"] for r in dealt for cell in r["rows"]} == set(range(5000))
+
+
 def page(body, ad="", head="<title>t</title>"):
     return (
         f"<html><head>{head}<style>p{{}}</style><script>var a='</p><article>';</script></head><body>"
