@@ -3,10 +3,10 @@
 A text's symbols are its characters. An agenda holds the pairs of neighbours that form a piece, the
 one with the highest score first and of equal scores the leftmost; taking a pair makes it one symbol
 and puts its two new pairs on the agenda. What is no piece in the end is spelled in byte pieces.
-A merge never joins two characters that stand side by side in no piece. Texts are therefore cut before
-each space sign that follows another character, and round line feeds and tabs, wherever the vocabulary
-has no piece across such a place; the parts are encoded on their own, and short words between single
-spaces are remembered in a bounded table. A vocabulary with such pieces gets whole texts.
+A merge never joins two characters that stand side by side in no piece. Texts are therefore cut at all such
+places; the parts are encoded on their own, and short parts are remembered in a bounded table. Parts of several
+texts are numbered together, so that a part is looked up once for all its occurrences and their ids are gathered
+as one array. A vocabulary whose pieces hold all such pairs gets whole texts.
 
 In each Arrow batch the library encodes and decodes the same texts. `agrees` says whether ids and
 decoded text are equal; where they are not, the library's are returned.
@@ -17,11 +17,10 @@ separate rows; a null id stays null; an empty table gives none. Memory is a batc
 
 from __future__ import annotations
 
-import re
+import contextlib
 import sys
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +37,22 @@ UNKNOWN = " ⁇ "
 REMEMBERED, LONGEST = 1 << 19, 64
 #: Characters of texts that are encoded together.
 TOGETHER = 2 << 20
-#: Characters round which texts are cut, if no piece of several characters holds them.
-LONE = "\n\t\r"
+#: Characters whose neighbours are looked at together.
+BLOCK = 1 << 18
 IDS = np.dtype("<i4")
-NEVER = float("inf")
+#: The rank of what is no pair.
+NEVER = np.iinfo(np.int32).max
+#: Slots that tell most pairs that are not in a set from those that may be, and what spreads pairs over them.
+SLOT_BITS, SPREAD = 20, np.uint64(0x9E3779B97F4A7C15)
+
+
+def slots(keys: np.ndarray) -> np.ndarray:
+    return (keys.astype(np.uint64, copy=False) * SPREAD) >> np.uint64(64 - SLOT_BITS)
+
+
+def neighbours(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Slots of pairs of code points."""
+    return slots((left.astype(np.uint64) << np.uint64(21)) | right)
 
 
 class Vocabulary:
@@ -70,10 +81,10 @@ class Vocabulary:
         # Rules of normalisation show in what the library makes of a probe; others than the usual ones are left to it.
         probe = " a  ﬁéé\x00\t\n "
         self.own_rules = lib.normalize(probe) == SPACE + probe.replace(" ", SPACE)
-        wide = [p for p in self.number if len(p) > 1]
-        lone = "".join(c for c in LONE if not any(c in p for p in wide))
-        across = any(SPACE in p.lstrip(SPACE) for p in wide)
-        self.parts = None if across else re.compile(f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+" + (f"|[{lone}]" if lone else ""))
+        beside = np.array([(ord(a), ord(b)) for p in self.number for a, b in zip(p, p[1:], strict=False)], "<u4")
+        #: True in the slots of characters that stand side by side in a piece.
+        self.parts: np.ndarray | None = np.zeros(1 << SLOT_BITS, bool)
+        self.parts[neighbours(*beside.reshape(-1, 2).T)] = True
 
     def normal(self, text: str) -> str:
         if not text:
@@ -90,7 +101,7 @@ class Agendas:
 
     def __init__(self, number: dict[str, int], rank: dict[str, float], size: int):
         self.size, self.wide = size, size + sys.maxunicode + 1
-        self.of_char = np.arange(size, self.wide, dtype=np.int64)
+        self.of_char = np.arange(size, self.wide, dtype=np.int32)
         for piece, i in number.items():
             if len(piece) == 1:
                 self.of_char[ord(piece)] = i
@@ -103,21 +114,29 @@ class Agendas:
         keys = np.array(sorted(known), np.int64)
         #: Pairs by key, with a last one that no pair has.
         self.keys = np.append(keys, np.iinfo(np.int64).max)
-        self.whole = np.array([known[k][0] for k in keys.tolist()] + [0], np.int64)
-        self.rank = np.array([known[k][1] for k in keys.tolist()] + [NEVER])
+        self.whole = np.array([known[k][0] for k in keys.tolist()] + [0], np.int32)
+        #: Places in the order of scores; equal scores share one.
+        order = np.unique([known[k][1] for k in keys.tolist()], return_inverse=True)[1]
+        self.rank = np.append(order, NEVER).astype(np.int32)
+        self.may_be = np.zeros(1 << SLOT_BITS, bool)
+        self.may_be[slots(keys)] = True
 
     def ranked(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key = left * self.wide + right
+        key = left * np.int64(self.wide) + right
+        some = np.flatnonzero(self.may_be[slots(key)])
+        key = key[some]
         at = np.searchsorted(self.keys, key)
-        hit = self.keys[at] == key
-        return np.where(hit, self.rank[at], NEVER), self.whole[at]
+        at[self.keys[at] != key] = len(self.keys) - 1
+        rank, whole = np.full(len(left), NEVER, np.int32), np.zeros(len(left), np.int32)
+        rank[some], whole[some] = self.rank[at], self.whole[at]
+        return rank, whole
 
     def merged(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The symbols of all parts when their agendas are empty, and where each part's end."""
         symbol = self.of_char[np.frombuffer("".join(parts).encode("utf-32-le"), "<u4")]
-        part = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        part = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
         done: list[np.ndarray] = []
-        rank, whole = np.full(len(symbol), NEVER), np.zeros(len(symbol), np.int64)
+        rank, whole = np.full(len(symbol), NEVER, np.int32), np.zeros(len(symbol), np.int32)
         inner = np.flatnonzero(part[1:] == part[:-1])
         rank[inner], whole[inner] = self.ranked(symbol[inner], symbol[inner + 1])
         while len(symbol):
@@ -143,7 +162,7 @@ class Agendas:
                 left = left[left + 1 < len(part)]
                 left = left[part[left] == part[left + 1]]
                 rank[left], whole[left] = self.ranked(symbol[left], symbol[left + 1])
-        owner, symbols = np.concatenate([np.zeros((2, 0), np.int64), *done], axis=1)
+        owner, symbols = np.concatenate([np.zeros((2, 0), np.int32), *done], axis=1)
         return symbols[np.argsort(owner, kind="stable")], np.cumsum(np.bincount(owner, minlength=len(parts)))
 
 
@@ -180,7 +199,7 @@ def merged_long(part: str, rank: dict[str, float]) -> list[str]:
 
 def encoder(vocabulary: Vocabulary) -> Callable[[list[str]], list[bytes]]:
     """The ids of each of some texts as little-endian 32-bit numbers."""
-    rank, spelled, cut, number = vocabulary.rank, vocabulary.bytes, vocabulary.parts, vocabulary.number
+    rank, spelled, beside, number = vocabulary.rank, vocabulary.bytes, vocabulary.parts, vocabulary.number
     size = vocabulary.library.get_piece_size()
     agendas = Agendas(number, rank, size)
 
@@ -196,15 +215,14 @@ def encoder(vocabulary: Vocabulary) -> Callable[[list[str]], list[bytes]]:
     class Known(dict):
         """Ids of short parts; long ones are not remembered."""
 
-        def __init__(self, sign: str):
-            self.sign = sign
-
         def __missing__(self, part: str) -> bytes:
-            return of_long(self.sign + part)
+            return of_long(part)
+
+    known = Known()
 
-    def learn(known: Known, parts: list[str]) -> None:
-        """Add the ids of short parts, each behind the sign."""
-        symbols, ends = agendas.merged([known.sign + p for p in parts])
+    def learn(parts: list[str]) -> None:
+        """Add the ids of short parts."""
+        symbols, ends = agendas.merged(parts)
         ids, low = symbols.astype(IDS).tobytes(), 0
         strange = np.add.reduceat(symbols >= size, np.append(0, ends[:-1])).tolist() if len(ends) else []
         for part, end, odd in zip(parts, ends.tolist(), strange, strict=True):
@@ -215,25 +233,45 @@ def encoder(vocabulary: Vocabulary) -> Callable[[list[str]], list[bytes]]:
                 known[part] = ids[IDS.itemsize * low : IDS.itemsize * end]
             low = end
 
-    words, parts = Known(SPACE), Known("")
+    def cut(whole: str, firsts: np.ndarray) -> tuple[np.ndarray, pa.LargeStringArray]:
+        """Where parts of the joined texts begin, and the parts; `firsts` are the texts' own beginnings."""
+        codes = np.frombuffer(whole.encode("utf-32-le"), "<u4")
+        first = np.zeros(len(codes), bool)
+        first[firsts] = True
+        if beside is not None:
+            for low in range(1, len(codes), BLOCK):
+                right = codes[low : low + BLOCK]
+                first[low : low + BLOCK] |= ~beside[neighbours(codes[low - 1 : low - 1 + len(right)], right)]
+        begins = np.flatnonzero(first)
+        width = np.ones(len(codes), np.uint8)
+        for least in (0x80, 0x800, 0x10000):
+            width += codes >= least
+        offsets = np.append(0, np.cumsum(np.add.reduceat(width, begins, dtype=np.int64)))
+        buffers = pa.py_buffer(offsets), pa.py_buffer(whole.encode())
+        return begins, pa.LargeStringArray.from_buffers(len(begins), *buffers)
 
     def encode(texts: list[str]) -> list[bytes]:
-        split: list[tuple[Known, list[str]]] = []
-        for text in texts:
-            normal = vocabulary.normal(text)
-            behind = normal.split(SPACE) if cut else []
-            if cut is None:
-                split.append((parts, [normal] if normal else []))
-            elif not behind[0] and "" not in behind[1:]:
-                split.append((words, behind[1:]))
-            else:  # runs of signs belong together
-                split.append((parts, cut.findall(normal)))
-        for known in (words, parts):
-            if len(known) >= REMEMBERED:
-                known.clear()
-            seen = set(chain.from_iterable(own for where, own in split if where is known))
-            learn(known, [p for p in seen if p not in known and len(p) < LONGEST])
-        return [b"".join(map(known.__getitem__, own)) for known, own in split]
+        normal = [vocabulary.normal(text) for text in texts]
+        text_ends = np.cumsum([0, *map(len, normal)])
+        if not text_ends[-1]:
+            return [b""] * len(texts)
+        begins, parts = cut("".join(normal), text_ends[:-1][np.diff(text_ends) > 0])
+        numbered = parts.dictionary_encode()
+        different, which = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices.to_numpy()
+        if len(known) >= REMEMBERED:
+            known.clear()
+        found = list(map(known.get, different))
+        new = [i for i, own in enumerate(found) if own is None]
+        learn([p for i in new if len(p := different[i]) < LONGEST])
+        for i in new:
+            found[i] = known[different[i]]
+        ids = np.frombuffer(b"".join(found), IDS)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // IDS.itemsize
+        lengths = sizes[which]
+        ends = np.append(0, np.cumsum(lengths))
+        out = ids[np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], lengths) + np.arange(ends[-1])]
+        bounds = ends[np.searchsorted(begins, text_ends)].tolist()
+        return [out[low:high].tobytes() for low, high in zip(bounds, bounds[1:], strict=False)]
 
     return encode
 
@@ -275,12 +313,41 @@ def decoder(vocabulary: Vocabulary) -> Callable[[list[int]], str]:
     return decode
 
 
+def decoder_of_many(vocabulary: Vocabulary) -> Callable[[list[np.ndarray]], list[str]]:
+    """Texts of several lists of ids. Lists with silent pieces or bytes that make no text are decoded one by one."""
+    decode, byte_of = decoder(vocabulary), vocabulary.byte_of
+    spelled = [bytes([byte_of[i]]) if i in byte_of else s.encode() for i, s in enumerate(vocabulary.surface)]
+    surface, longest = pa.array(spelled, pa.binary()), max(map(len, spelled))
+    silent, opening = np.zeros(len(spelled), bool), np.zeros(len(spelled), bool)
+    silent[list(vocabulary.silent)], opening[list(vocabulary.opening)] = True, True
+
+    def decode_many(lists: list[np.ndarray]) -> list[str]:
+        ids = np.concatenate([*lists, np.zeros(0, IDS)])
+        if not len(ids) or len(ids) * longest >= 1 << 31:  # beyond the offsets of one Arrow array
+            return [decode(own.tolist()) for own in lists]
+        ends = np.cumsum([0, *map(len, lists)])
+        _, offsets, data = surface.take(pa.array(ids)).buffers()
+        at = np.frombuffer(offsets, np.int32, len(ids) + 1)[ends].tolist()
+        quiet = np.append(0, np.cumsum(silent[ids], dtype=np.int32))[ends].tolist()
+        text, out = memoryview(data or b""), []
+        for i, own in enumerate(lists):
+            one = None
+            if len(own) and quiet[i] == quiet[i + 1]:
+                # Whole text, so bytes between pieces are whole characters too.
+                with contextlib.suppress(UnicodeDecodeError):
+                    one = str(text[at[i] + int(opening[own[0]]) : at[i + 1]], "utf-8")
+            out.append(decode(own.tolist()) if one is None else one)
+        return out
+
+    return decode_many
+
+
 def encoded(docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, ids, decoded, agrees), one row per row."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model)
-        encode, decode, library = encoder(vocabulary), decoder(vocabulary), vocabulary.library
+        encode, decode_many, library = encoder(vocabulary), decoder_of_many(vocabulary), vocabulary.library
         for batch in rows:
             ids, texts, agrees, some, size = [], [], [], [], 0
             column = batch.column(1).to_pylist()
@@ -289,15 +356,17 @@ def encoded(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
                 size += len(some[-1])
                 if size < TOGETHER and n < len(column):
                     continue
+                listed = []
                 for one, own in zip(some, encode(some), strict=True):
                     # One text at a time, so that the library's ids of a batch do not stand beside the own ones.
                     checked = library.encode_as_numpy(one).astype(IDS, copy=False)
-                    listed = checked.tolist()
-                    known, same = library.decode(listed) if listed else "", own == checked.tobytes()
-                    back = decode(listed if same else np.frombuffer(own, IDS).tolist())
-                    agrees.append(same and back == known)
+                    same = own == checked.tobytes()
                     ids.append(checked)
-                    texts.append(known)
+                    listed.append(checked if same else np.frombuffer(own, IDS))
+                    agrees.append(same)
+                    texts.append(library.decode(checked) if len(checked) else "")
+                for i, back in enumerate(decode_many(listed), len(texts) - len(listed)):
+                    agrees[i] = agrees[i] and back == texts[i]
                 some, size = [], 0
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(

@@ -88,3 +88,35 @@ def test_query(spark, vocabulary, docs_of, tables):
 def test_whole_table_agrees(spark):
     found = queries.op13_sentencepiece(spark, "/root/testdata/sf0.001")
     assert found.where(~F.col("agrees")).count() == 0 and found.count() > 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([0, 1, 2, 3, 13, 50, 227, 130, 131, 155, 243]) | st.integers(0, 31999), max_size=9), max_size=6))
+def test_many_lists_decode_as_one_by_one(vocabulary, lists):
+    many = pieces.decoder_of_many(vocabulary)([np.array(ids, pieces.IDS) for ids in lists])
+    assert many == [vocabulary.library.decode(ids) if ids else "" for ids in lists]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("▁the in.,!\n$ saoé梦😀", max_size=60), max_size=6))
+def test_texts_encoded_together_as_alone(vocabulary, texts):
+    own = pieces.encoder(vocabulary)(texts)
+    assert [memoryview(ids).cast("i").tolist() for ids in own] == [vocabulary.library.encode(t) for t in texts]
+
+
+def test_a_word_is_merged_once_whatever_stands_beside_it(vocabulary, monkeypatch):
+    """Marks that no piece joins with letters are parts of their own."""
+    merged, whole = [], pieces.Agendas.merged
+    monkeypatch.setattr(pieces.Agendas, "merged", lambda self, parts: merged.extend(parts) or whole(self, parts))
+    encode = pieces.encoder(vocabulary)
+    text = "geberie geberie, geberie\ngeberie geberie!!! geberie$$$"
+    assert memoryview(encode([text])[0]).cast("i").tolist() == vocabulary.library.encode(text)
+    assert merged.count("▁geberie") == 1 and sum("geberie" in part for part in merged) == 2
+    encode(["geberie? geberie###"])
+    assert sum("geberie" in part for part in merged) == 2
+
+
+def test_parts_across_blocks_of_neighbours(vocabulary, own, monkeypatch):
+    monkeypatch.setattr(pieces, "BLOCK", 3)
+    text = "The thing, in a house.\nAnd 梦ゼ 😀 more"
+    assert own(text) == vocabulary.library.encode(text)
