@@ -1,6 +1,9 @@
 """Text, scalar and aggregate expressions, compared with DuckDB where it defines the result."""
 
+import itertools
+
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +104,34 @@ def test_aggregates_skip_missing_values(spark):
 def test_ratio_of_nothing_is_missing(spark):
     df = spark.sql("select 1 as a, 0 as z, 3 as b")
     assert tuple(df.select(A.ratio(F.col("a"), F.col("z")), A.ratio(F.col("a"), F.col("b"))).first()) == (None, 0.3333)
+
+
+def test_tolerant_int_is_the_two_casts_on_any_text(spark):
+    """Text that is not cast is text that the casts refuse."""
+    texts = ["7", " 7 ", "+7", "-7", "7.", ".5", "1.5", "2.5", "12.5e3", "1E2", "e3", "3e", "n/a", "x", "20l5", "", " ", None,
+             "1/2", "0x1F", "1d", "1f", "1L", "NaN", "Infinity", "٣", "1٣.5", "9" * 12, "1e30", "1_0", "1,0", "\t7\n",
+             " 7", "7　", "\x007", "7\x1f", "--7", "+ 7", "é", "1e+2", "1e-2", "-1.5"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in ("int", "bigint"):
+        c = F.col("t")
+        casts = F.coalesce(c.try_cast(kind), F.round(X.trim_spaces(c).try_cast("decimal(38,10)"), 0).try_cast(kind))
+        assert rows.filter(~S.tolerant_int(c, kind).eqNullSafe(casts)).collect() == []
+
+
+def test_no_cast_is_tried_on_text_that_is_no_number(spark, capsys):
+    spark.createDataFrame([("x",)], "t string").select(S.tolerant_int(F.col("t"))).explain(True)
+    analysed = capsys.readouterr().out.split("Analyzed Logical Plan")[1].split("Optimized Logical Plan")[0]
+    assert analysed.count("RLIKE") == 2
+
+
+def test_names_as_collapsed_and_split_in_full(spark):
+    signs = ["", " ", "a", "~", "!", " ", "　", "\t", "\n", "\f", "\r", "\x0b", "\x7f", "é", "  ", ":", "\x85"]
+    texts = [None, *["".join(t) for n in range(4) for t in itertools.product(signs, repeat=n)]]
+    rows = spark.createDataFrame(pa.table({"t": pa.array(dict.fromkeys(texts), pa.string())}))
+    c = F.col("t")
+    full = {
+        "make": (X.make_name_key(c), X.trim_spaces(F.regexp_replace(F.upper(F.coalesce(c, F.lit(""))), X.WHITESPACE_RUN, " "))),
+        "level": (X.path_level(c, 1), F.split_part(c, F.lit(":"), F.lit(1))),
+    }
+    for name, (found, expected) in full.items():
+        assert rows.filter(~found.eqNullSafe(expected)).collect() == [], name
