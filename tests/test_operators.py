@@ -201,6 +201,30 @@ def test_check_runner(spark):
     }
 
 
+def test_rows_are_counted_per_reference_before_the_parents_are_joined(spark):
+    child = spark.createDataFrame([(1,), (1,), (2,), (3,), (3,), (None,)], "ref long")
+    parent = spark.createDataFrame([(1,), (1,), (None,)], "key long")
+    found = checks.orphan_counts(child, parent, "ref", "key")
+    assert sorted((r.ref, r["_rows"]) for r in found.collect()) == [(2, 1), (3, 2)]
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Join") < text.index("Aggregate")
+    got = checks.run_checks({"c": child, "p": parent}, [checks.related("c", "ref", "p", "key")]).first()
+    assert (got.failures, got.status) == (3, "fail")
+
+
+def test_packed_texts_come_back_as_they_were(spark):
+    cells = [None, "", "a", "a\u0001b", "\u0002", "\u0001", "\u0002\u0002", "ä\n\t "]
+    data = [(i, a, b, i * 1.5) for i, (a, b) in enumerate((a, b) for a in cells for b in cells)]
+    df = spark.createDataFrame([*data, (None, "x", None, None)], "k int, s string, t string, n double")
+    moved = dedup.laid_by(df, ["k"])
+    assert moved.columns == df.columns and moved.dtypes == df.dtypes
+    key = lambda r: tuple((v is not None, v) for v in r)
+    assert sorted(map(tuple, moved.collect()), key=key) == sorted(map(tuple, df.collect()), key=key)
+    twice = df.unionByName(df.withColumn("n", F.col("n") + 1))
+    newest = dedup.latest_per_key(twice, ["k"], [F.desc("n")], few_versions=True).filter("k is not null")
+    assert {r.k: tuple(r) for r in newest.collect()} == {k: (k, s, t, n + 1) for k, s, t, n in data}
+
+
 def test_freshness(spark):
     df = spark.createDataFrame([(T1,)], "ts timestamp")
     status = lambda at: checks.freshness(df, "ts", F.lit(at), 2, 8, "s").first().status

@@ -1,13 +1,14 @@
 """Physical plans: pushdown, no row-pair products, no Python, one scan where one is enough."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from fieldgap.operators.dedup import latest_per_key
-from fieldgap.plans.marts import fct_complaint
+from fieldgap.plans.marts import _cited_categories, fct_complaint
 from fieldgap.workload import deliveries, models, tables
 from fieldgap.workload.models import derived
 
@@ -69,3 +70,34 @@ def test_complaint_rows_are_not_sorted_before_they_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
     above = [part.split("\n")[1] for part in facts.split("Exchange hashpartitioning(complaint_id")[1:]]
     assert above and not any("SortAggregate" in line for line in above)
+
+
+def test_texts_of_complaint_rows_shuffle_as_one(spark):
+    text = plan(derived(spark, PLAIN).lazy("stg_complaints"))
+    shuffled = [part.split("\n")[1] for part in text.split("Exchange hashpartitioning(")[1:]]
+    assert len(shuffled) == 1 and "_texts" in shuffled[0]
+
+
+def test_components_of_complaints_are_counted_without_a_shuffle(spark):
+    d = derived(spark, PLAIN)
+    text = plan(fct_complaint(d["stg_complaints"], d["int_model_conformance"]))
+    assert text.count("Exchange hashpartitioning(complaint_id") == text.count("Exchange hashpartitioning(") == 1
+
+
+def test_cited_categories_shuffle_on_the_complaint_once(spark):
+    d = derived(spark, PLAIN)
+    text = plan(_cited_categories(d["fct_complaint_component"], d["dim_component"]))
+    assert text.count("Exchange hashpartitioning(") == 1 and "Exchange hashpartitioning(complaint_id" in text
+    assert "part_category" not in text.split("Exchange hashpartitioning(")[1].split(")")[0]
+
+
+def test_coverage_is_shuffled_for_both_of_its_readers_alike(spark):
+    d = derived(spark, PLAIN)
+    text = plan(d.lazy("mart_coverage_gap"))
+    scans = [part.split("DataFilters: ")[1].split("]")[0] for part in text.split("FileScan")[1:] if "/fct_part_fitment" in part]
+    assert scans and len({re.sub(r"#\d+", "", s) for s in scans}) == 1
+
+
+def test_landed_lines_are_not_searched_for_their_end(spark):
+    text = plan(entry.queries()["landed_complaints"](spark, PLAIN))
+    assert not re.search(r"regexp_replace\((value|concat)", text)
