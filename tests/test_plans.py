@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from fieldgap.operators.dedup import latest_per_key
 from fieldgap.plans.marts import _cited_categories, fct_complaint
+from fieldgap.plans.suite import several_vehicles_per_complaint
 from fieldgap.workload import deliveries, models, tables
 from fieldgap.workload.models import derived
 
@@ -78,6 +79,32 @@ def test_texts_of_complaint_rows_shuffle_as_one(spark):
     assert len(shuffled) == 1 and "_texts" in shuffled[0]
 
 
+def test_texts_of_collapsed_rows_shuffle_as_one(spark):
+    d = derived(spark, PLAIN)
+    text = plan(fct_complaint(d["stg_complaints"], d["int_model_conformance"]))
+    (shuffled,) = [part.split("\n")[1] for part in text.split("Exchange hashpartitioning(complaint_id")[1:]]
+    assert "_texts" in shuffled
+
+
+def test_names_of_complaints_shuffle_once_and_as_one_text(spark):
+    text = plan(several_vehicles_per_complaint(derived(spark, PLAIN)["stg_complaints"]))
+    assert text.count("Exchange hashpartitioning(") == 1 and "Exchange hashpartitioning(complaint_id" in text
+
+
+def test_coverage_shuffles_once_before_its_join(spark):
+    d = derived(spark, PLAIN)
+    broadcasts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = plan(d.lazy("mart_coverage_gap"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
+    keys = {part.split(", ENSURE")[0].split(", REPARTITION")[0] for part in text.split("Exchange hashpartitioning(")[1:]}
+    shuffled = {re.sub(r"#\d+", "", k) for k in keys}
+    assert any(re.match(r"part_number, \d+\)", k) for k in shuffled)
+    assert not any(k.startswith("part_number, vehicle_key") for k in shuffled)
+
+
 def test_components_of_complaints_are_counted_without_a_shuffle(spark):
     d = derived(spark, PLAIN)
     text = plan(fct_complaint(d["stg_complaints"], d["int_model_conformance"]))

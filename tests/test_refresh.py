@@ -10,6 +10,7 @@ from fieldgap.plans import marts, reports
 from fieldgap.plans import refresh as plan
 from fieldgap.plans.reference import COMPLAINT_COLUMNS, FITMENT_FEED_COLUMNS, PART_FEED_COLUMNS, RECALL_COLUMNS
 from fieldgap.plans.refresh import DataTestError, Inputs, refresh
+from fieldgap.plans.suite import several_vehicles_per_complaint
 from fieldgap.sources.store import Warehouse
 
 YEAR = 2025
@@ -316,6 +317,21 @@ def test_changed_conformance_moves_old_complaints(spark):
     assert {(r.complaint_id, r.vehicle_key) for r in moved.collect()} == {(r.complaint_id, r.vehicle_key) for r in full.collect()}
 
 
+def test_complaints_with_several_vehicles_are_found_by_whole_names(spark):
+    rows = spark.createDataFrame(
+        [
+            (1, "A", "B|1|C", 2018), (1, "1|C|A", "B", 2018),
+            (2, "FORD", "F 150", 2018), (2, "FORD", "F 150", 2018),
+            (3, "FORD", "F 150", 2018), (3, "FORD", "F 150", 2019),
+            (4, "FORD", "F 150", 2018), (4, None, "F 250", 2018), (4, "FORD", "", 2018), (4, "FORD", "F 250", None),
+            (None, "FORD", "F 150", 2018), (None, "HONDA", "FIT", 2018), (None, "HONDA", "FIT", 2018),
+        ],
+        "complaint_id long, make string, model_norm string, model_year int",
+    )
+    found = {r.complaint_id: r.vehicles for r in several_vehicles_per_complaint(rows).collect()}
+    assert found == {1: 2, 3: 2, None: 2}
+
+
 def test_untested_builds_do_not_count_as_tested(spark, built, monkeypatch):
     """Models published without tests are built again, and tested, by the next refresh that tests."""
     _, wh, inputs = built
