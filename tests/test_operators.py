@@ -225,6 +225,17 @@ def test_packed_texts_come_back_as_they_were(spark):
     assert {r.k: tuple(r) for r in newest.collect()} == {k: (k, s, t, n + 1) for k, s, t, n in data}
 
 
+def test_distinct_and_repeated_keys_count_nulls_as_equal(spark):
+    data = [(1, "a"), (1, "a"), (1, None), (1, None), (1, None), (None, "a"), (None, None), (2, "a"), (2, "b")]
+    df = spark.createDataFrame(data, "k int, s string")
+    rows = [tuple(r) for r in dedup.distinct_by(df, ["k"]).collect()]
+    assert len(rows) == len(set(data)) and set(rows) == set(data)
+    repeated = checks.repeated_keys(df, ["k", "s"])
+    assert dict(repeated.dtypes)["occurrences"] == "bigint"
+    assert {tuple(r) for r in repeated.collect()} == {(1, "a", 2), (1, None, 3)}
+    assert {tuple(r) for r in checks.repeated_keys(df, ["k"]).collect()} == {(1, 5), (2, 2)}
+
+
 def test_freshness(spark):
     df = spark.createDataFrame([(T1,)], "ts timestamp")
     status = lambda at: checks.freshness(df, "ts", F.lit(at), 2, 8, "s").first().status

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from fieldgap.operators.checks import repeated_keys
 from fieldgap.operators.dedup import latest_per_key
 from fieldgap.plans.marts import _cited_categories, fct_complaint
 from fieldgap.plans.suite import several_vehicles_per_complaint
@@ -91,6 +92,19 @@ def test_names_of_complaints_shuffle_once_and_as_one_text(spark):
     assert text.count("Exchange hashpartitioning(") == 1 and "Exchange hashpartitioning(complaint_id" in text
 
 
+def test_short_rows_are_sorted_where_they_lie_and_not_hashed(spark):
+    d = derived(spark, PLAIN)
+    lying = [
+        repeated_keys(d["fct_complaint_component"], ["complaint_id", "component_key"]),
+        _cited_categories(d["fct_complaint_component"], d["dim_component"]),
+        d.lazy("fct_complaint_component"),
+    ]
+    for text in map(plan, lying):
+        below = text[text.index("Exchange hashpartitioning(") :]
+        assert text.count("Exchange hashpartitioning(") == 1 and "HashAggregate" not in below and "Sort" not in below
+    assert not any("HashAggregate" in plan(df) for df in lying[1:])
+
+
 def test_coverage_shuffles_once_before_its_join(spark):
     d = derived(spark, PLAIN)
     broadcasts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
