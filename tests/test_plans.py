@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from fieldgap.operators.checks import repeated_keys
 from fieldgap.operators.dedup import latest_per_key
+from fieldgap.plans import staging
+from fieldgap.plans.catalog import judge_fitment, judge_parts
 from fieldgap.plans.marts import _cited_categories, fct_complaint
+from fieldgap.plans.reference import make_aliases
 from fieldgap.plans.suite import several_vehicles_per_complaint
-from fieldgap.workload import deliveries, models, tables
+from fieldgap.workload import deliveries, feeds, models, tables
 from fieldgap.workload.models import derived
 
 PLAIN = "/root/testdata/sf0.001"
@@ -142,3 +145,40 @@ def test_coverage_is_shuffled_for_both_of_its_readers_alike(spark):
 def test_landed_lines_are_not_searched_for_their_end(spark):
     text = plan(entry.queries()["landed_complaints"](spark, PLAIN))
     assert not re.search(r"regexp_replace\((value|concat)", text)
+
+
+def test_typing_of_feeds_makes_methods_that_the_jvm_compiles(spark):
+    """Above 8000 bytes a method runs interpreted; reading and typing wide rows used to be one."""
+    key = F.col("id")
+    lines = spark.range(20).select(
+        key.alias("l_orderkey"), key.alias("l_partkey"), key.alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        *[(key / 3).alias(f"l_{c}") for c in ("quantity", "extendedprice", "discount", "tax")],
+        key.cast("string").alias("l_returnflag"), key.cast("string").alias("l_linestatus"),
+        key.cast("timestamp").alias("l_shipdate"),
+    )
+    events = spark.range(20).select(
+        key.alias("event_id"), key.alias("user_id"), key.cast("string").alias("event_type"), (key / 3).alias("value")
+    )
+    parts = spark.range(20).select(
+        key.alias("p_partkey"), key.cast("int").alias("p_size"), (key / 3).alias("p_retailprice"),
+        *[key.cast("string").alias(f"p_{c}") for c in ("brand", "type", "name")],
+    )
+    aliases = make_aliases(spark)
+    valid = judge_parts(feeds.part_feed(parts)).valid
+    typed = {
+        "complaints": staging.staged_complaints(feeds.complaint_rows(lines), aliases),
+        "recalls": staging.staged_recalls(feeds.recall_rows(events), aliases),
+        "parts": valid,
+        "fitment": judge_fitment(feeds.fitment_feed(parts), valid, aliases, 2025).valid,
+    }
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # adaptive plans get their methods as they run
+    try:
+        for name, df in typed.items():
+            methods, sizes = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan()).iterator(), []
+            while methods.hasNext():
+                sizes.append(methods.next()._3().maxMethodCodeSize())
+            assert sizes and max(sizes) < 8000, (name, sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
