@@ -154,7 +154,7 @@ def test_trimmed_flags_and_dates_as_spelled_out(spark):
     whole = (F.length(padded) == 8) & F.substring(padded, 8, 1).between("0", "9")
     iso = F.concat_ws("-", *[F.substring(padded, at, n) for at, n in ((1, 4), (5, 2), (7, 2))])
     full = {
-        "trim": (X.trim_spaces(c), trimmed),
+        "trim": (X.trim_ends(c), trimmed),
         "yes": (X.yes_flag(c), F.upper(F.coalesce(c, F.lit("N"))).isin("Y", "YES")),
         "date": (S.compact_date(c), F.when(whole, iso).when(F.length(padded) == 10, padded).try_cast("date")),
         "unfused": (X.unfused(c), c),
